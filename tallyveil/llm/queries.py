@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import decontaminate, exact_dedup, mixing, secret_ledger
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +17,26 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op7_source_mixing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_secret_ledger, op7_source_mixing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op7_source_mixing": mixing.OP7_SQL}
+    return {
+        "op2_exact_dedup": exact_dedup.OP2_SQL,
+        "op3_secret_ledger": secret_ledger.op3_sql(),
+        "op7_source_mixing": mixing.OP7_SQL,
+        "op9_decontamination": decontaminate.OP9_SQL,
+    }
