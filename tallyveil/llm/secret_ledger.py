@@ -56,13 +56,14 @@ RULES = RuleSet(
 
 def secret_spans(text: Column, rules: RuleSet = RULES) -> Column:
     """Sorted array of the rules' spans in a text."""
-    found = []
-    for place, rule in enumerate(rules.rules):
+
+    def of(place: int, rule: Rule) -> Column:
         hits = matches(text, rule.pattern)
         if rule.holds is not None:
-            hits = F.filter(hits, lambda m, holds=rule.holds: holds(m["hit"]))
-        found.append(F.transform(hits, lambda m, p=place, k=rule.kind: span(p, k, m["start"], m["end"])))
-    return F.array_sort(F.concat(*found))
+            hits = F.filter(hits, lambda m: rule.holds(m["hit"]))
+        return F.transform(hits, lambda m: span(place, rule.kind, m["start"], m["end"]))
+
+    return F.array_sort(F.concat(*[of(place, rule) for place, rule in enumerate(rules.rules)]))
 
 
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +110,7 @@ def _sql_matches(kind: str, place: int, pattern: str, holds: str) -> str:
     quoted = pattern.replace("'", "''")
     return f"""
 found_{kind} AS (SELECT k, doc_id, '{kind}' AS kind, {place} AS place, hits[i] AS hit,
-    CAST(coalesce(list_sum(list_transform(gaps[1:i], x -> length(x))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS BIGINT) AS s
+    CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
   FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
         FROM (SELECT k, doc_id, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS hits FROM d))),
 good_{kind} AS (SELECT k, kind, place, s, s + length(hit) AS e FROM found_{kind} WHERE {holds})"""
