@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, mixing, secret_ledger
+from . import decontaminate, exact_dedup, language_id, mixing, pii, quality, secret_ledger, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -21,16 +25,28 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_digest(_table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(_table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_secret_ledger, op7_source_mixing, op9_decontamination)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
