@@ -203,3 +203,21 @@ def output_problems(df: DataFrame, rules: Sequence[Rule], states: Sequence[str],
     if not negatives:
         checks["negative"] = df.filter(F.col(count_column) < 0)
     return reduce(DataFrame.union, [d.agg(F.lit(n).alias("problem"), F.count(F.lit(1)).alias("rows")) for n, d in checks.items()])
+
+
+def invalid_tables(tables: dict[str, DataFrame], rules: dict[str, Sequence[Rule]], may_be_empty: Sequence[str] = ()) -> dict[str, list[str]]:
+    """Problems of each table of a set: absent, empty, wrong columns, or rules with invalid values; sound tables are left out."""
+    out = {}
+    for name, own in rules.items():
+        if name not in tables:
+            out[name] = ["the table is missing"]
+            continue
+        found = column_problems(tables[name], own)
+        if not found:
+            report = rule_report(tables[name], own).collect()
+            if not any(r.checked for r in report) and name not in may_be_empty:
+                found.append("the table is empty")
+            found += sorted(f"{r.column}: {r.invalid} invalid, such as {r.examples}" for r in report if r.invalid)
+        if found:
+            out[name] = found
+    return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.noise import mechanism, released
 from ..operators.rows import parts_by_key
 from ..spec import TableSpec, coerced, spec_of
+from .builder import Measured
 
 #: A request this much (relatively) above what is left is lowered to it.
 SLACK = 1e-9
@@ -62,6 +63,20 @@ class Session:
             raise ValueError(f"the result must be grouped by {spec.grouping_column}")
         return released(out, f"{self.folder}/{uuid.uuid4().hex}")
 
+    def run(self, measured: Measured, amount: float, prefer: str = "default") -> DataFrame:
+        """Runs a built query; a charge is made only when the query is sound."""
+        state = measured.query.state(self)
+        keys = measured.keys
+        if state.grouping and (keys is None or state.grouping not in keys.columns):
+            raise ValueError(f"the keys must have {state.grouping}")
+        amount = self.charge(measured.query.source, amount)
+        if measured.by_epsilon:
+            epsilon = amount / state.reach if self.kind == "pure" else math.sqrt(8 * amount) / state.reach
+            out = measured.aggregate(state.df, keys, epsilon)
+        else:
+            out = measured.aggregate(state.df, keys, mechanism(amount, state.reach, self.kind, prefer))
+        return released(out, f"{self.folder}/{uuid.uuid4().hex}")
+
     def create_view(self, name: str, source: str, change: Callable[[DataFrame], DataFrame], factor: float = 1, cache: bool = False) -> None:
         """A derived private table; factor: rows of the result for each row of the source that changes."""
         df, spec = self.private[source]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import _exact, count
 from ..operators.keys import keyed
+from ..operators.noise import not_negative, suppressed, suppression_threshold
 from ..operators.rows import digitize
 
 #: Age edges of each level's table; level 0 has the total only.
@@ -101,3 +102,39 @@ def workload(cells: DataFrame, groups: Sequence[str]) -> DataFrame:
     """The level of a group by the number of its published rows: 1, or sexes x bins with marginals."""
     n = F.count(F.lit(1))
     return cells.groupBy(*groups).agg(n.alias("rows"))
+
+
+def detail_totals(persons: DataFrame, groups: Sequence[str], domain: DataFrame | None = None, noise: Callable = _exact, scale: float = 0.0, chance: float = 0.0, negatives: bool = False) -> DataFrame:
+    """Totals of groups that get no finer table: noisy counts, small ones suppressed, negatives cut to zero on request.
+
+    chance: with which a group of nobody is suppressed; 0 keeps all.
+    """
+    out = count(persons, domain if domain is not None else persons.select(*groups).distinct(), "count", noise)
+    if chance > 0:
+        out = suppressed(out, "count", suppression_threshold(scale, chance))
+    return out if negatives else not_negative(out, "count")
+
+
+def population_groups(persons: DataFrame, person: str, regions: dict[str, str], group_of: DataFrame, group: str) -> DataFrame:
+    """One row for each person, region and characteristic; two key columns, no joined text."""
+    return regions_long(persons.join(group_of.select(person, group), person), regions)
+
+
+def shaped(table: DataFrame, groups: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """Output columns in order: groups, AGESTART, AGEEND, SEX (`*` for all, names for codes), COUNT."""
+    sex = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("sex")), F.col("sex"))
+    return table.select(*groups, F.col("low").alias("AGESTART"), F.col("high").alias("AGEEND"), sex.alias("SEX"), F.col("count").alias("COUNT"))
+
+
+def tabulation(persons: DataFrame, groups: Sequence[str], sexes: Sequence[str], thresholds: Sequence[float], *, domain: DataFrame | None = None, stage_one: Callable = _exact, stage_two: Callable = _exact, release: Callable[[DataFrame], DataFrame] = lambda df: df, negatives: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The whole run for all regions and characteristics at once: (totals, tables by sex and age).
+
+    release materialises noisy results, so that the levels which choose the
+    tables are the ones that are published.
+    """
+    levelled = release(levels(persons, groups, thresholds, domain, stage_one))
+    cells = release(adaptive_cells(persons, levelled, groups, sexes, noise=stage_two))
+    if not negatives:
+        cells = not_negative(cells, "count")
+    table = with_marginals(cells, groups)
+    return table.filter((F.col("sex") == ALL) & (F.col("low") == ALL)).select(*groups, F.col("count").alias("COUNT")), table.filter(~((F.col("sex") == ALL) & (F.col("low") == ALL)))
