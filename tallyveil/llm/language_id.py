@@ -1,8 +1,8 @@
 """Language identification, word first, with backoff to character n-grams.
 
 Training counts every word of every labelled text, by language, in one
-distributed aggregation; the n-gram counts follow from the word counts. What
-is broadcast is bounded: the `max_words` most frequent words and the
+distributed aggregation; n-grams are counted over the different words of each
+language, so that frequent words don't drown the rest. What is broadcast is bounded: the `max_words` most frequent words and the
 `max_grams` most frequent n-grams of each length. A word outside the table is
 unseen and scored by n-grams: at each of its places by the longest known one,
 from `longest` letters down to one.
@@ -28,7 +28,7 @@ LONGEST = 5
 MAX_WORDS = 60_000
 MAX_GRAMS = 20_000
 #: Distinct keys that a task holds before it passes its counts on.
-FLUSH = 200_000
+FLUSH = 400_000
 UNKNOWN = "und"
 SMOOTH = 1.0
 #: Words after which more text no longer sharpens the score.
@@ -40,10 +40,10 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(True))
 
 
-def grams_of(word: str, longest: int = LONGEST) -> list[list[str]]:
-    """For each place of the word between its marks, the n-grams that start there, longest first."""
+def grams_of(word: str, longest: int = LONGEST) -> list[str]:
+    """All n-grams of the word between its marks, up to `longest` characters."""
     marked = f"<{word}>"
-    return [[marked[i : i + n] for n in range(min(longest, len(marked) - i), 0, -1)] for i in range(len(marked))]
+    return [marked[i : i + n] for n in range(1, longest + 1) for i in range(len(marked) - n + 1)]
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,16 +63,19 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = {}
+
+    def flush() -> pd.DataFrame:
+        rows = [(lang, gram, n) for lang, c in counts.items() for gram, n in c.items()]
+        counts.clear()
+        return pd.DataFrame(rows, columns=["lang", "gram", "n"])
+
     for batch in batches:
-        for lang, word, n in zip(batch["lang"], batch["word"], batch["n"], strict=True):
-            for starting in grams_of(word):
-                for gram in starting:
-                    counts[lang, gram] += n
-            if len(counts) > FLUSH:
-                yield pd.DataFrame([(a, b, k) for (a, b), k in counts.items()], columns=["lang", "gram", "n"])
-                counts = Counter()
-    yield pd.DataFrame([(a, b, k) for (a, b), k in counts.items()], columns=["lang", "gram", "n"])
+        for lang, word in zip(batch["lang"], batch["word"], strict=True):
+            counts.setdefault(lang, Counter()).update(grams_of(word))
+        if sum(map(len, counts.values())) > FLUSH:
+            yield flush()
+    yield flush()
 
 
 @dataclass
@@ -85,35 +88,43 @@ class LanguageModel:
     grams: dict[str, int]
     gram_logs: np.ndarray
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the word's places of the logs of the longest known n-gram; a place without any adds nothing."""
+    def unseen(self, word: str) -> list[int]:
+        """At every place of the word between its marks the longest known n-gram; a place without any is left out."""
+        marked, grams, out = f"<{word}>", self.grams, []
+        for i in range(len(marked)):
+            for n in range(LONGEST, 0, -1):
+                at = grams.get(marked[i : i + n])
+                if at is not None:
+                    out.append(at)
+                    break
+        return out
+
+    def totals(self, words: list[str]) -> np.ndarray:
+        """Sums of logs by language: a known word's own, an unseen word's mean over its places."""
         total = np.zeros(len(self.langs))
-        places = grams_of(word)
-        for starting in places:
-            at = next((k for g in starting if (k := self.grams.get(g)) is not None), None)
-            if at is not None:
-                total += self.gram_logs[at]
-        return total / len(places)
-
-    def predict(self, texts: pd.Series, cache: dict[str, np.ndarray]) -> pd.DataFrame:
+        known = [at for at in map(self.words.get, words) if at is not None]
+        if known:
+            total += self.word_logs[known].sum(axis=0, dtype=float)
+        if len(known) < len(words):
+            places: list[int] = []
+            weights: list[float] = []
+            for word, n in Counter([w for w in words if w not in self.words]).items():
+                found = self.unseen(word)
+                places += found
+                weights += [n / (len(word) + 2)] * len(found)
+            if places:
+                total += np.array(weights) @ self.gram_logs[places]
+        return total
+
+    def predict(self, texts: pd.Series) -> pd.DataFrame:
         langs, scores = [], []
         for text in texts:
             words = WORD.findall(text.lower()) if text else []
-            known = [k for w in words if (k := self.words.get(w)) is not None]
-            if not self.langs or not known and not any(any(map(str.isalpha, w)) for w in words):
+            if not self.langs or not any(any(map(str.isalpha, w)) for w in words):
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total = np.zeros(len(self.langs))
-            for at, n in Counter(known).items():
-                total += n * self.word_logs[at]
-            if len(known) < len(words):
-                for word, n in Counter(w for w in words if w not in self.words).items():
-                    if word not in cache:
-                        if len(cache) > FLUSH // 4:
-                            cache.clear()
-                        cache[word] = self.unseen(word)
-                    total += n * cache[word]
+            total = self.totals(words)
             best = int(np.argmax(total))
             share = np.exp((total - total[best]) * min(1.0, ENOUGH / len(words)))
             langs.append(self.langs[best])
@@ -168,9 +179,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, np.ndarray] = {}
         for batch in batches:
-            out = shared.value.predict(batch["text"], cache)
+            out = shared.value.predict(batch["text"])
             out.insert(0, "id", batch["id"])
             yield out
 

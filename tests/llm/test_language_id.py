@@ -34,7 +34,8 @@ def test_backoff(spark):
     model = fit(docs)
     unseen = spark.createDataFrame([(1, "aaad", None, 0.0), (2, "zzzzd", None, 0.0), (3, "qq", None, 0.0)], SCHEMA)
     assert [r.lang_pred for r in predict(unseen, model).orderBy("doc_id").collect()] == ["x", "y", "x"]
-    assert grams_of("ab", 3) == [["<ab", "<a", "<"], ["ab>", "ab", "a"], ["b>", "b"], [">"]]
+    assert grams_of("ab", 3) == ["<", "a", "b", ">", "<a", "ab", "b>", "<ab", "ab>"]
+    assert [g for at in model.unseen("aaad") for g, k in model.grams.items() if k == at] == ["<aaa", "aaa", "aa", "a", ">"]
 
 
 @pytest.mark.parametrize("rows", [[], [(1, "text without language", None, 0.0)]])
