@@ -407,3 +407,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not found.groupBy("id", "body").count().filter("count > 1").isEmpty():
         kept = kept.withColumn("copy_no", F.row_number().over(Window.partitionBy("id", "body").orderBy("id"))).filter("copy_no = 1")
     return kept.select("row.*")
+
+
+#: DuckDB SQL for `near_copies` with its default join: all overlaps by a self-join, all reachable pairs by recursion.
+OP5_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT k, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+o AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY a.k, b.k),
+e AS (SELECT x, y FROM o JOIN n p ON p.k = x JOIN n q ON q.k = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+u AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(x, y) AS (SELECT k, k FROM d UNION SELECT r.x, u.y FROM r JOIN u ON u.x = r.y),
+c AS (SELECT r.x AS k, min(d.doc_id) AS component_id FROM r JOIN d ON d.k = r.y GROUP BY r.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(l, 0) AS n_links
+FROM d JOIN c USING (k) LEFT JOIN n USING (k) LEFT JOIN (SELECT x AS k, count(*) AS l FROM u GROUP BY x) USING (k)"""

@@ -57,6 +57,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": exact_dedup.OP2_SQL,
         "op3_secret_ledger": secret_ledger.op3_sql(),
+        "op5_jaccard_join": jaccard_join.OP5_SQL,
         "op7_source_mixing": mixing.OP7_SQL,
         "op9_decontamination": decontaminate.OP9_SQL,
     }

@@ -6,7 +6,7 @@ import pytest
 
 from tallyveil.llm import jaccard_join
 from tallyveil.llm.components import components
-from tallyveil.llm.jaccard_join import Join, boundary, list_cost, near_copies, one_of_each, signatures, subset_cost
+from tallyveil.llm.jaccard_join import OP5_SQL, Join, boundary, list_cost, near_copies, one_of_each, signatures, subset_cost
 
 SCHEMA = "doc_id long, text string, cls string"
 
@@ -66,6 +66,11 @@ def test_against_all_pairs(spark, monkeypatch, join):
     assert sorted(map(str, got)) == sorted(map(str, plain(rows, join)))
 
 
+def test_against_sql(spark, same_as_sql):
+    docs = spark.createDataFrame(corpus(4, 30), SCHEMA)
+    same_as_sql(near_copies(docs).drop("body"), OP5_SQL, {"documents": docs})
+
+
 def test_linked_sets_share_a_list():
     rng = np.random.default_rng(3)
     for join in (Join(), Join(5, 80, 100)):
