@@ -108,7 +108,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     out = _taken(docs, id_col, text_col, source_col, seed, weights, share, limit, row).filter("taken > 0")
-    return out.select("row.*", "taken") .toDF(*docs.columns, "\0taken").select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix_words"], F.col("`\0taken`").alias("mix_words"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "mix_words"], F.col("taken").alias("mix_words"))
 
 
 def mixture_sql(documents: str = "documents") -> str:
