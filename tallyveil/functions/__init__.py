@@ -1,0 +1,7 @@
+"""Functions of columns that the operators share."""
+
+from ..operators.noise import inverse_cdf
+from ..operators.rows import bin_range, blank_to, digitize, relabel
+from ..operators.special import is_inf
+
+__all__ = ["bin_range", "blank_to", "digitize", "inverse_cdf", "is_inf", "relabel"]

@@ -1,0 +1 @@
+"""Operators as functions from DataFrame to DataFrame, a module for each family."""

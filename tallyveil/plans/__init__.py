@@ -1,0 +1 @@
+"""Whole jobs of several operators: budgets, query chains, tabulation, reports."""

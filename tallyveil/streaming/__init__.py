@@ -1,0 +1 @@
+"""Empty on purpose: releases are batch jobs, since every released row is charged to a budget."""
