@@ -8,23 +8,29 @@ from pyspark.sql import functions as F
 from .scratch import staged
 
 
+def _ordered(edges: DataFrame) -> DataFrame:
+    """Distinct edges (low, high) without loops."""
+    return edges.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the smallest node that links reach.
 
-    Every round takes the smallest label among a node and its neighbours and
-    then follows labels one step, so paths halve; rounds end when nothing
-    changes. A node with many links is one partial minimum for each task, and
-    its joins are left to adaptive skew splitting.
+    In every round each node with smaller neighbours moves to the smallest of
+    them, and once more to where that one moves; edges move with their nodes,
+    and those that close up or coincide go. The smallest node of a component
+    never moves, at least every other node does, and few edges outlive the
+    first rounds. A node with many links is one partial minimum for each task.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
-    both = staged(both, "links")
-    labels = staged(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        lower = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("root").alias("old"), F.least("root", "near").alias("low"))
-        step = labels.select(F.col("node").alias("at"), F.col("root").alias("next"))
-        after = lower.join(step, lower["low"] == step["at"]).select("node", "old", F.least("low", "next").alias("root"))
-        after = staged(after, "labels")
-        if after.filter("root <> old").isEmpty():
-            return after.select("node", "root")
-        labels = after.select("node", "root")
+    left = staged(_ordered(edges), "links")
+    labels = left.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("root", F.col("node"))
+    while not left.isEmpty():
+        up = staged(left.groupBy("high").agg(F.min("low").alias("low")), "moves")
+        first, then = up.alias("x"), up.alias("y")
+        moves = first.join(then, F.col("x.low") == F.col("y.high"), "left").select(F.col("x.high").alias("at"), F.coalesce("y.low", "x.low").alias("to"))
+        moves = staged(moves, "moves")
+        highs = left.join(moves, left["high"] == moves["at"]).select("low", F.col("to").alias("b"))
+        moved = highs.join(moves, highs["low"] == moves["at"], "left").select(F.coalesce("to", "low").alias("a"), "b")
+        left = staged(_ordered(moved), "links")
+        labels = staged(labels.join(moves, labels["root"] == moves["at"], "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+    return labels
