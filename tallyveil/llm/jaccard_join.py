@@ -4,8 +4,10 @@ Two sets of sizes a <= b link when their overlap is at least c(a, b). Small
 sets list all their subsets of exactly c elements for every size they can link
 with: two that link share one. For large sets that would explode, so they
 cut their elements into more parts than two linked sets can differ in, and
-enter the inverted list of every part: two that link share a part whole. The
-boundary is where the sum of both costs over the corpus' sizes is least.
+enter the inverted list of every part: two that link share a part whole.
+Between the two, where parts would hold an element or less, sets enter the
+lists of their first elements in a fixed random order. The boundary of small
+sets is where the sum of both costs over the corpus' sizes is least.
 
 Lists only tell which sets may link. Sets joined by lists form candidate
 groups, large groups are cut into blocks, and every pair of blocks is one
@@ -22,7 +24,7 @@ import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from math import comb
+from math import ceil, comb, exp, sqrt
 
 import numpy as np
 import pandas as pd
@@ -41,10 +43,11 @@ SALTS = 64
 MOST_SMALL = 40
 #: What reading an entry of a part's list costs, in subsets listed.
 SCAN = 3.0
-#: Common empty parts that a linked pair may have before empty parts count too.
-EMPTY = 2
+#: Elements of a part below which parts no longer tell sets apart.
+THIN = 1.5
+ALL_THIN = 100_000
 #: Sets in a block of a candidate group.
-BLOCK = 256
+BLOCK = 512
 #: Elements that one piece of work counts at a time.
 CHUNK = 8192
 #: Words and classes that a task remembers.
@@ -137,10 +140,33 @@ def _interval_of(join: Join, size: int) -> int:
 
 
 @cache
-def _parts(join: Join, at: int) -> int:
-    """Parts for sets of the at-th interval and those that they link with: one more than such sets differ in, and EMPTY."""
-    a = _interval(join, at)[1]
-    return (join.den - join.num) * (a + join.most(a)) // (join.den + join.num) + 1 + EMPTY
+def _parts(join: Join, at: int) -> tuple[int, int]:
+    """(parts, spare) for sets of the at-th interval and those that they link with.
+
+    Linked sets differ in k elements at most, so of k + 1 + spare parts more
+    than spare agree; spare is above the empty parts that all but a few sets
+    have, so that a part which both have elements in is among them.
+    """
+    low, a = _interval(join, at)
+    k = (join.den - join.num) * (a + join.most(a)) // (join.den + join.num)
+    spare = 1
+    while k + 1 + spare < 2 * low:
+        before, empty = spare, (k + 1 + spare) * exp(-low / (k + 1 + spare))
+        spare = max(spare, ceil(empty + 4 * sqrt(empty)) + 1)
+        if spare == before:
+            break
+    return k + 1 + spare, spare
+
+
+@cache
+def thin(join: Join) -> int:
+    """The largest size up to which parts would have fewer than THIN elements; such sets enter lists of single elements."""
+    at = 0
+    while _interval(join, at)[0] < THIN * _parts(join, at)[0]:
+        at += 1
+        if _interval(join, at)[0] > ALL_THIN:  # at low similarities parts never fill
+            return 2**62
+    return _interval(join, at)[0] - 1
 
 
 @cache
@@ -157,9 +183,16 @@ def subset_cost(join: Join, size: int) -> float:
     return float(sum(comb(size, join.overlap(a, b)) for a, b in _partners(join, size, join.most(size))))
 
 
+def _prefix(join: Join, size: int) -> int:
+    """Of two sets that link, in any one order, the first so many elements share one."""
+    return size - -(-join.num * size // join.den) + 1
+
+
 def list_cost(join: Join, size: int) -> float:
+    if size <= thin(join):
+        return (1 + SCAN) * _prefix(join, size)
     at = _interval_of(join, size)
-    return (1 + SCAN) * (_parts(join, at) + (_parts(join, at - 1) if at else 0))
+    return (1 + SCAN) * (_parts(join, at)[0] + (_parts(join, at - 1)[0] if at else 0))
 
 
 def boundary(join: Join, sizes: dict[int, int]) -> int:
@@ -177,18 +210,21 @@ def signatures(tokens: np.ndarray, join: Join, small: int) -> np.ndarray:
             for a, b in _partners(join, size, small):
                 rows = values[_subsets(size, join.overlap(a, b))]
                 out.append(mixed(rows.sum(axis=1, dtype=U) + U(a * 1_000_003 + b) * P))
+        middle = max(small, thin(join))
+        if size <= middle and join.most(size) > small:
+            out.append(mixed(~np.sort(values)[: _prefix(join, size)]))
         at = _interval_of(join, size)
         for tag in (at, at - 1):
-            if tag < 0 or _interval(join, tag + 1)[1] <= small:
+            if tag < 0 or _interval(join, tag + 1)[1] <= middle:
                 continue
-            n = _parts(join, tag)
+            n, spare = _parts(join, tag)
             part = (tokens % U(n)).astype(np.intp)
             order = np.argsort(part, kind="stable")
             full, starts = np.unique(part[order], return_index=True)
             sums = np.add.reduceat(values[order], starts)
             base = U(tag * 2 + 1) * U(0xD6E8FEB86659FD93)
             out.append(mixed(sums + mixed(full.astype(U) + base)))
-            if n - len(full) > EMPTY:
+            if n - len(full) > spare:
                 gone = np.setdiff1d(np.arange(n), full)
                 out.append(mixed(~mixed(gone.astype(U) + base)))
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
