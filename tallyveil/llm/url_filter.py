@@ -21,6 +21,8 @@ from .scratch import staged
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 #: Rules up to which their table is broadcast.
 MOST_BROADCAST = 100_000
+#: Lanes of a host's paths, and salts of a url's pages.
+SALTS = 16
 DAMPING = 0.85
 ROUNDS = 12
 THRESHOLD = 0.0
@@ -104,17 +106,20 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     """
     spark = pages.sparkSession
     table = rules if isinstance(rules, DataFrame) else spark.createDataFrame(list(rules), "host string, path string, verdict string")
-    named = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    per_host = staged(fitting_rules(named.select("host").distinct(), table), "host-rules")
-
-    # (host, path) is what rules judge; a hot host spreads over its paths
-    sites = named.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages")).join(per_host, "host", "left")
-    first = F.element_at(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), 1)
-    with_rule = F.when(F.size(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"]))) > 0, first)
-    sites = staged(sites.select("host", "path", "pages", with_rule.alias("r")).select("host", "path", "pages", F.concat("r.suffix", "r.rule_path").alias("rule"), F.col("r.rule_verdict").alias("by_rule")), "ruled-sites")
+    path = path_of(F.col(url_col))
+    named = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path.alias("path"), F.pmod(F.xxhash64(path), F.lit(SALTS)).alias("lane"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).alias("salt"))
+
+    # A hot host spreads over lanes of its paths, a hot url over salts of its pages: tables of hosts get a row
+    # for each lane in use, tables of sites a row for each salt in use.
+    lanes = staged(named.select("host", "lane").distinct(), "host-lanes")
+    per_host = lanes.join(fitting_rules(lanes.select("host").distinct(), table), "host")
+    sites = named.groupBy("host", "lane", "path").agg(F.count(F.lit(1)).alias("pages"), F.collect_set("salt").alias("salts")).join(per_host, ["host", "lane"], "left")
+    rule = F.try_element_at(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), F.lit(1))
+    sites = sites.select("host", "lane", "path", "pages", "salts", rule.alias("r"))
+    sites = staged(sites.select("host", "lane", "path", "pages", "salts", F.concat("r.suffix", "r.rule_path").alias("rule"), F.col("r.rule_verdict").alias("by_rule")), "ruled-sites")
     share = lambda verdict: F.coalesce(F.sum(F.when(F.col("by_rule") == verdict, F.col("pages"))) / F.sum("pages"), F.lit(0.0))
     seeds = sites.filter("by_rule IS NOT NULL").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
-    rank = propagate(host_links(pages, url_col, html_col), seeds, damping=damping, rounds=rounds)
+    rank = lanes.join(propagate(host_links(pages, url_col, html_col), seeds, damping=damping, rounds=rounds), "host")
     verdict = F.coalesce("by_rule", F.when(F.coalesce("distrust", F.lit(0.0)) - F.coalesce("trust", F.lit(0.0)) > threshold, "block").otherwise("allow"))
-    decided = sites.join(rank, "host", "left").select("host", "path", "rule", verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
-    return named.join(decided, ["host", "path"]).select(F.col("id").alias(id_col), "host", "path", "rule", "verdict", "trust", "distrust")
+    decided = sites.join(rank, ["host", "lane"], "left").select("host", "path", F.explode("salts").alias("salt"), "rule", verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    return named.join(decided, ["host", "path", "salt"]).select(F.col("id").alias(id_col), "host", "path", "rule", "verdict", "trust", "distrust")
