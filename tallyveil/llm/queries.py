@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, quality, secret_ledger, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_ledger, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_spread(_table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_copies(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
@@ -50,13 +54,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op4_line_dedup, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": exact_dedup.OP2_SQL,
         "op3_secret_ledger": secret_ledger.op3_sql(),
+        "op4_line_dedup": line_dedup.OP4_SQL,
         "op5_jaccard_join": jaccard_join.OP5_SQL,
         "op7_source_mixing": mixing.OP7_SQL,
         "op9_decontamination": decontaminate.OP9_SQL,
