@@ -3,6 +3,7 @@ import binascii
 import pytest
 from pyspark.sql import functions as F
 
+from tallyveil.llm import language_id
 from tallyveil.llm.language_id import UNKNOWN, fit, grams_of, held_out, identified, predict
 
 ROWS = [(1, "the cat and the dog", "en", 1.0), (2, "le chat et le chien", "fr", 2.0), (3, "the bird", "en", 3.0), (4, "le chien", None, 4.0), (5, None, "fr", 5.0), (6, "", "en", 6.0), (7, "12 34 !!", "en", 7.0), (None, "the", "en", 8.0), (2, "le chat et le chien", "fr", 2.0), (8, "chat " * 50_000, "fr", 9.0)]
@@ -49,3 +50,14 @@ def test_language_is_no_input(spark):
     changed = docs.withColumn("lang", F.when(held_out("doc_id"), F.lit("xx")).otherwise(F.col("lang")))
     a, b = (sorted(map(tuple, identified(d).select("doc_id", "lang_pred").collect())) for d in (docs, changed))
     assert a == b
+
+
+@pytest.mark.parametrize("most", [language_id.MOST_BROADCAST, 0])
+def test_nothing_learned_is_dropped(spark, monkeypatch, most):
+    monkeypatch.setattr(language_id, "MOST_BROADCAST", most)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").unionByName(spark.createDataFrame(ROWS, SCHEMA).drop("score"))
+    learn = docs.filter(~held_out("doc_id"))
+    whole, small = predict(docs, fit(learn)), predict(docs, fit(learn, max_words=40, max_grams=30))
+    a, b = (sorted(map(tuple, x.collect()), key=str) for x in (whole, small))
+    assert [x[:2] for x in a] == [x[:2] for x in b]
+    assert [x[2] for x in a] == pytest.approx([x[2] for x in b])
