@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .scratch import staged
 
+#: Moves up to which their table is broadcast; beyond, adaptive execution splits the tasks of hot nodes.
+MOST_BROADCAST = 500_000
+
 
 def _ordered(edges: DataFrame) -> DataFrame:
     """Distinct edges (low, high) without loops."""
@@ -29,6 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         first, then = up.alias("x"), up.alias("y")
         moves = first.join(then, F.col("x.low") == F.col("y.high"), "left").select(F.col("x.high").alias("at"), F.coalesce("y.low", "x.low").alias("to"))
         moves = staged(moves, "moves")
+        if moves.count() <= MOST_BROADCAST:
+            moves = F.broadcast(moves)
         highs = left.join(moves, left["high"] == moves["at"]).select("low", F.col("to").alias("b"))
         moved = highs.join(moves, highs["low"] == moves["at"], "left").select(F.coalesce("to", "low").alias("a"), "b")
         left = staged(_ordered(moved), "links")

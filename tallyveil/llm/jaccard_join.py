@@ -2,19 +2,24 @@
 
 Two sets of sizes a <= b link when their overlap is at least c(a, b). Small
 sets list all their subsets of exactly c elements for every size they can link
-with: two that link share one. For large sets that would explode, so they
-cut their elements into more parts than two linked sets can differ in, and
-enter the inverted list of every part: two that link share a part whole.
-Between the two, where parts would hold an element or less, sets enter the
-lists of their first elements in a fixed random order. The boundary of small
-sets is where the sum of both costs over the corpus' sizes is least.
-
-Lists only tell which sets may link. Sets joined by lists form candidate
-groups, large groups are cut into blocks, and every pair of blocks is one
-piece of work: it scans its elements' inverted lists to count all overlaps and
-passes on links as trees, so no step emits the pairs of a group. Every task
-merges its own list entries before they are shuffled, so a list that a third
-of all sets enter reaches its reducer as one entry for each batch of rows.
+with: two that link share one. For large sets that would explode, so their
+elements' inverted lists are scanned. The boundary of small sets is where the
+sum of both costs over the corpus' sizes is least.
+
+Lists are scanned in two steps, both exact. In any one order of all elements,
+two sets that link share at least l of their first size - c + l elements:
+
+1. Every set enters the lists of its first elements in a random order, and
+   stays when enough of its entries meet another set there. Most sets go.
+2. For those that stay, the lists of all elements are counted. With the rarest
+   elements first, each enters the lists of its first size - c + 1, so passages
+   that many documents share bring no sets together.
+
+Sets that share a list form candidate groups, large groups are cut into
+blocks, and every pair of blocks is one piece of work that counts all overlaps
+and passes on links as trees, so no step emits the pairs of a group. Every
+task merges its own list entries before they are shuffled, so a list that a
+third of all sets enter reaches its reducer as one entry for each batch.
 """
 
 from __future__ import annotations
@@ -24,33 +29,33 @@ import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from math import ceil, comb, exp, sqrt
+from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .mixing import word_count
 from .scratch import staged
 
 SALTS = 64
 #: Sizes up to which sets may count as small.
 MOST_SMALL = 40
-#: What reading an entry of a part's list costs, in subsets listed.
+#: What reading an entry of an element's list costs, in subsets listed.
 SCAN = 3.0
-#: Elements of a part below which parts no longer tell sets apart.
-THIN = 1.5
-ALL_THIN = 100_000
-#: Sets in a block of a candidate group.
+#: One in so many elements is entered beyond the fewest, to tell apart sets that share little.
+EXTRA = 10
+#: Sets, and elements in all, of a block of a candidate group.
 BLOCK = 512
+BLOCK_ELEMENTS = 2_000_000
 #: Elements that one piece of work counts at a time.
 CHUNK = 8192
-#: Words and classes that a task remembers.
+#: Bytes of text that are cut into words at a time, and sets that a task remembers.
+SLICE = 8_000_000
 REMEMBERED = 200_000
 #: Rows of candidates up to which they are broadcast to find their texts.
 MOST_BROADCAST = 500_000
@@ -76,9 +81,13 @@ class Join:
         return a * self.den // self.num
 
     def least(self, b: int) -> int:
-        """The smallest size that can link with size b."""
+        """The smallest size that can link with size b, and the least intersection of b with any set it links with."""
         return -(-self.num * b // self.den)
 
+    def wanted(self, n: int) -> int:
+        """How many list entries two linked sets share, the smaller of size n, when each enters size - least + wanted lists."""
+        return 1 + min(n // EXTRA, self.least(n) - 1)
+
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values evenly."""
@@ -89,32 +98,47 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(33))
 
 
-class Words(dict):
-    """64-bit hashes of words, kept up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def shingles(text: str | None, width: int, known: Words) -> np.ndarray:
-    """Sorted distinct 64-bit shingles; fewer words than width are one shingle, no words are none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, U)
-    h = np.array([known[w] for w in words], dtype=U)
-    with np.errstate(over="ignore"):
-        if len(h) < width:
-            total = U(len(h))
-            for x in h:
-                total = total * P + x
-            return mixed(np.array([total], U))
-        total = h[: len(h) - width + 1].copy()
-        for i in range(1, width):
-            total = total * P + h[i : len(h) - width + 1 + i]
-        return np.unique(mixed(total))
+def _cut(texts: pa.Array) -> Iterator[pa.Array]:
+    """texts in slices of about SLICE bytes, a longer text on its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """For each text its sorted distinct 64-bit shingles; fewer words than width are one shingle, no words are none."""
+    out: list[np.ndarray] = []
+    for some in _cut(texts):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(some, "")))
+        words = lists.flatten()
+        filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        coded = words.dictionary_encode()
+        hashes = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+        h = hashes[coded.indices.to_numpy(zero_copy_only=False)][filled]
+        counts = np.bincount(np.repeat(np.arange(len(some)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[filled], minlength=len(some)).tolist()
+        with np.errstate(over="ignore"):
+            full = max(0, len(h) - width + 1)
+            total = np.zeros(full, U)
+            for i in range(width):
+                total = total * P + h[i : full + i]
+            total, start = mixed(total), 0
+            for n in counts:
+                if n >= width:
+                    own = np.sort(total[start : start + n - width + 1])
+                    out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
+                elif n:
+                    few = U(n)
+                    for x in h[start : start + n]:
+                        few = few * P + x
+                    out.append(mixed(np.array([few], U)))
+                else:
+                    out.append(np.empty(0, U))
+                start += n
+    return out
 
 
 def class_of(tokens: np.ndarray) -> bytes:
@@ -122,51 +146,9 @@ def class_of(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-@cache
-def _interval(join: Join, at: int) -> tuple[int, int]:
-    """Smallest and largest size of the at-th interval of sizes; sizes link within an interval or with the next."""
-    low = 1
-    for _ in range(at):
-        low = join.most(low) + 1
-    return low, join.most(low)
-
-
-@cache
-def _interval_of(join: Join, size: int) -> int:
-    at = 0
-    while _interval(join, at)[1] < size:
-        at += 1
-    return at
-
-
-@cache
-def _parts(join: Join, at: int) -> tuple[int, int]:
-    """(parts, spare) for sets of the at-th interval and those that they link with.
-
-    Linked sets differ in k elements at most, so of k + 1 + spare parts more
-    than spare agree; spare is above the empty parts that all but a few sets
-    have, so that a part which both have elements in is among them.
-    """
-    low, a = _interval(join, at)
-    k = (join.den - join.num) * (a + join.most(a)) // (join.den + join.num)
-    spare = 1
-    while k + 1 + spare < 2 * low:
-        before, empty = spare, (k + 1 + spare) * exp(-low / (k + 1 + spare))
-        spare = max(spare, ceil(empty + 4 * sqrt(empty)) + 1)
-        if spare == before:
-            break
-    return k + 1 + spare, spare
-
-
-@cache
-def thin(join: Join) -> int:
-    """The largest size up to which parts would have fewer than THIN elements; such sets enter lists of single elements."""
-    at = 0
-    while _interval(join, at)[0] < THIN * _parts(join, at)[0]:
-        at += 1
-        if _interval(join, at)[0] > ALL_THIN:  # at low similarities parts never fill
-            return 2**62
-    return _interval(join, at)[0] - 1
+def short_of(cls: bytes) -> int:
+    """The first eight bytes of a class, by which first lists know it; classes that share them stay together."""
+    return int.from_bytes(cls[:8], "little", signed=True)
 
 
 @cache
@@ -183,16 +165,8 @@ def subset_cost(join: Join, size: int) -> float:
     return float(sum(comb(size, join.overlap(a, b)) for a, b in _partners(join, size, join.most(size))))
 
 
-def _prefix(join: Join, size: int) -> int:
-    """Of two sets that link, in any one order, the first so many elements share one."""
-    return size - -(-join.num * size // join.den) + 1
-
-
 def list_cost(join: Join, size: int) -> float:
-    if size <= thin(join):
-        return (1 + SCAN) * _prefix(join, size)
-    at = _interval_of(join, size)
-    return (1 + SCAN) * (_parts(join, at)[0] + (_parts(join, at - 1)[0] if at else 0))
+    return (1 + SCAN) * (size - join.least(size) + join.wanted(size))
 
 
 def boundary(join: Join, sizes: dict[int, int]) -> int:
@@ -201,116 +175,159 @@ def boundary(join: Join, sizes: dict[int, int]) -> int:
     return int(np.argmin(cost))
 
 
-def signatures(tokens: np.ndarray, join: Join, small: int) -> np.ndarray:
-    """Keys of the lists that a set enters; sets that link share at least one."""
+def subset_keys(tokens: np.ndarray, join: Join, small: int) -> np.ndarray:
+    """Keys of a small set's subsets; small sets that link share one. Large sets have none."""
     size, out = len(tokens), []
-    with np.errstate(over="ignore"):
-        values = mixed(tokens)
-        if size <= small:
+    if size <= small:
+        with np.errstate(over="ignore"):
+            values = mixed(tokens)
             for a, b in _partners(join, size, small):
                 rows = values[_subsets(size, join.overlap(a, b))]
                 out.append(mixed(rows.sum(axis=1, dtype=U) + U(a * 1_000_003 + b) * P))
-        middle = max(small, thin(join))
-        if size <= middle and join.most(size) > small:
-            out.append(mixed(~np.sort(values)[: _prefix(join, size)]))
-        at = _interval_of(join, size)
-        for tag in (at, at - 1):
-            if tag < 0 or _interval(join, tag + 1)[1] <= middle:
-                continue
-            n, spare = _parts(join, tag)
-            part = (tokens % U(n)).astype(np.intp)
-            order = np.argsort(part, kind="stable")
-            full, starts = np.unique(part[order], return_index=True)
-            sums = np.add.reduceat(values[order], starts)
-            base = U(tag * 2 + 1) * U(0xD6E8FEB86659FD93)
-            out.append(mixed(sums + mixed(full.astype(U) + base)))
-            if n - len(full) > spare:
-                gone = np.setdiff1d(np.arange(n), full)
-                out.append(mixed(~mixed(gone.astype(U) + base)))
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
 
 
-def short_of(cls: bytes) -> int:
-    """The first eight bytes of a class, by which lists know it; classes that share them only become candidates."""
-    return int.from_bytes(cls[:8], "little", signed=True)
+def first_keys(tokens: np.ndarray, join: Join, small: int) -> np.ndarray:
+    """Keys of the first lists of a set that can link with a large one: its first elements in a random order."""
+    size = len(tokens)
+    if not size or join.most(size) <= small:
+        return np.empty(0, np.int64)
+    with np.errstate(over="ignore"):
+        return np.sort(mixed(~tokens))[: size - join.least(size) + join.wanted(size)].view(np.int64)
 
 
 def _sets(rows: DataFrame, join: Join) -> DataFrame:
     """id, body, n, cls, short of each document; without shingles the last two are null."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Words()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [shingles(t, join.width, known) for t in batch["text"]]
-            batch["n"] = [len(t) for t in tokens]
-            batch["cls"] = [class_of(t) if len(t) else None for t in tokens]
-            batch["short"] = pd.array([short_of(c) if c else None for c in batch["cls"]], dtype="Int64")
-            yield batch.drop(columns="text")
-
-    kind = rows.schema["id"].dataType  # integers with nulls don't survive pandas
-    out = rows.withColumn("id", F.col("id").cast("string")).mapInPandas(run, "id string, body long, n long, cls binary, short long")
+            tokens = shingle_sets(batch.column("text"), join.width)
+            classes = [class_of(t) if len(t) else None for t in tokens]
+            columns = [batch.column("id"), batch.column("body"), pa.array(map(len, tokens), pa.int64()), pa.array(classes, pa.binary()), pa.array([c and short_of(c) for c in classes], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "body", "n", "cls", "short"])
+
+    kind = rows.schema["id"].dataType
+    out = rows.withColumn("id", F.col("id").cast("string")).mapInArrow(run, "id string, body long, n long, cls binary, short long")
     return out.withColumn("id", F.col("id").cast(kind))
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, key: np.ndarray | None = None) -> pa.RecordBatch:
-    """A batch of (key, a, b); without keys the pairs are links, each once."""
-    if key is None:
-        a, b = np.unique(np.stack([a, b]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()) if key is None else pa.array(key), pa.array(a), pa.array(b)], ["key", "a", "b"])
+#: What an entry of a subset's list counts: enough for a set to stay.
+ALWAYS = 1 << 40
 
 
-def _candidate_links(rows: DataFrame, join: Join, small: int) -> DataFrame:
-    """(a, b): short names of classes that share a list, as stars.
+def _meeting(rows: DataFrame, join: Join, small: int) -> DataFrame:
+    """owner (short name) of the sets that meet others in a subset's list, or in as many first lists as linked sets do.
 
-    Every batch first merges its own entries, so a list that many sets enter
-    leaves a task as one entry and links, and no reducer gets a hot list whole.
+    Rows on the way are list entries (key, owner, what the entry counts; no
+    owner where a batch had several, which then have counted it) and counts (no key).
     """
+    shape = pa.schema([("key", pa.int64()), ("owner", pa.int64()), ("n", pa.int64()), ("need", pa.int64())])
+
+    def made(key, owner, n, need) -> pa.RecordBatch:
+        size = len(n)
+        columns = [pa.nulls(size, pa.int64()) if c is None else c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in (key, owner, n, need)]
+        return pa.RecordBatch.from_arrays(columns, schema=shape)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = Words(), set()
+        seen: set[bytes] = set()
         for batch in batches:
-            keys, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for text in batch.column(0).to_pylist():
-                tokens = shingles(text, join.width, known)
-                if not len(tokens) or (name := short_of(class_of(tokens))) in seen:
+            keys, owners, counts, names, needs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [], []
+            for tokens in shingle_sets(batch.column(0), join.width):
+                if not len(tokens) or (cls := class_of(tokens)) in seen:
                     continue
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                seen.add(name)
-                keys.append(signatures(tokens, join, small))
-                owners.append(np.full(len(keys[-1]), name, np.int64))
-            key, owner = np.concatenate(keys), np.concatenate(owners)
+                seen.add(cls)
+                names.append(short_of(cls))
+                needs.append(join.wanted(join.least(len(tokens))))
+                for found, counted in ((subset_keys(tokens, join, small), ALWAYS), (first_keys(tokens, join, small), 1)):
+                    keys.append(found)
+                    owners.append(np.full(len(found), names[-1], np.int64))
+                    counts.append(np.full(len(found), counted, np.int64))
+            key, owner, n = np.concatenate(keys), np.concatenate(owners), np.concatenate(counts)
             order = np.argsort(key, kind="stable")
-            key, owner = key[order], owner[order]
+            key, owner, n = key[order], owner[order], n[order]
             _, starts, times = np.unique(key, return_index=True, return_counts=True)
-            hub = np.repeat(owner[starts], times)
-            again = np.ones(len(key), bool)
-            again[starts] = False
-            again &= owner != hub
-            yield _pairs(owner[again], hub[again])
-            yield _pairs(owner[starts], owner[starts], key[starts])
+            alone = np.repeat(times == 1, times)
+            own, place = np.unique(np.concatenate([owner[~alone], np.array(names, np.int64)]), return_inverse=True)
+            met = np.bincount(place, np.concatenate([n[~alone], np.zeros(len(names))]), len(own)).astype(np.int64)
+            need = np.zeros(len(own), np.int64)
+            np.maximum.at(need, place[len(place) - len(names) :], np.array(needs, np.int64))
+            yield made(None, own, met, need)
+            yield made(key[starts], pa.array(owner[starts], pa.int64(), mask=times > 1), n[starts], np.zeros(len(starts), np.int64))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, 0  # the list that is open, and the class that opened it
+        open_ = made(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
         for batch in batches:
-            links = batch.filter(batch.column(0).is_null())
-            entries = batch.filter(batch.column(0).is_valid())
-            if links.num_rows:
-                yield links
+            counts = batch.filter(batch.column(0).is_null())
+            if counts.num_rows:
+                yield counts
+            entries = pa.Table.from_batches([open_, batch.filter(batch.column(0).is_valid())]).combine_chunks()
             if not entries.num_rows:
                 continue
-            key, owner = (entries.column(i).to_numpy() for i in (0, 1))
-            first = np.concatenate([[key[0] != last], key[1:] != key[:-1]])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(key)), -1))
-            hubs = np.where(at < 0, hub, owner[at])
-            differ = owner != hubs
-            last, hub = int(key[-1]), int(hubs[-1])
-            yield _pairs(owner[differ], hubs[differ])
+            key = entries.column("key").to_numpy()
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            place = np.cumsum(first) - 1
+            meets = np.bincount(place)[place] > 1
+            owned = entries.column("owner").is_valid().to_numpy(zero_copy_only=False)
+            some = entries.filter(pa.array(meets & owned))
+            if some.num_rows:
+                yield made(None, some.column("owner").combine_chunks(), some.column("n").combine_chunks(), some.column("need").combine_chunks())
+            # The last list may go on: its only entry waits, or one without an owner stands for those that have met.
+            last = entries.slice(len(key) - 1, 1).to_batches()[0]
+            open_ = made(last.column(0), pa.nulls(1, pa.int64()), last.column(2), last.column(3)) if meets[-1] else last
+
+    fields = "key long, owner long, n long, need long"
+    entered = rows.select("text").mapInArrow(enter, fields)
+    dealt = entered.repartition(F.coalesce("key", F.xxhash64("owner"))).sortWithinPartitions("key")
+    counts = dealt.mapInArrow(meet, fields).groupBy("owner").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    return counts.filter("n >= need").select("owner")
+
+
+def _staying(rows: DataFrame, sets: DataFrame, join: Join, small: int) -> DataFrame:
+    """Different sets that may link: k (a number), cls, copies, n, tokens, keys (of subsets)."""
+    meeting = staged(_meeting(rows, join, small), "meeting")
+    classes = sets.filter("n > 0").groupBy("cls", "short").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    chosen = staged(classes.join(meeting, F.col("short") == F.col("owner"), "left_semi").drop("short"), "candidates")
+    different = chosen.count()
+    wanted = F.broadcast(chosen) if different <= MOST_BROADCAST else chosen
+    texts = rows.alias("d").join(wanted.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id"))).select("cls", "copies", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = shingle_sets(batch.column("text"), join.width)
+            same = [i for i, (t, c) in enumerate(zip(own, batch.column("cls").to_pylist(), strict=True)) if len(t) and class_of(t) == c]  # ids may repeat
+            lists = pa.list_(pa.int64())
+            columns = [batch.column("cls").take(pa.array(same, pa.int64())), batch.column("copies").take(pa.array(same, pa.int64())), pa.array([len(own[i]) for i in same], pa.int64())]
+            columns += [pa.array([own[i].view(np.int64) for i in same], lists), pa.array([subset_keys(own[i], join, small) for i in same], lists)]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "copies", "n", "tokens", "keys"])
+
+    found = texts.mapInArrow(run, "cls binary, copies long, n long, tokens array<long>, keys array<long>")
+    found = staged(found.withColumn("k", F.monotonically_increasing_id()), "staying-sets")
+    if found.count() > different:  # rows with one id and one set
+        found = found.join(found.groupBy("cls").agg(F.min("k").alias("k")), ["cls", "k"], "left_semi")
+    return found
 
-    shape = "key long, a long, b long"
-    entered = rows.select("text").mapInArrow(enter, shape)
-    dealt = entered.repartition(F.coalesce("key", F.xxhash64("a", "b"))).sortWithinPartitions("key", "a")
-    return dealt.mapInArrow(meet, shape).select("a", "b")
+
+def _ceil_div(a: Column, b: int) -> Column:
+    return F.floor((a + (b - 1)) / b).cast("long")
+
+
+def _shared_lists(found: DataFrame, join: Join, small: int) -> DataFrame:
+    """(a, b): k of sets that share a subset, or one of their rarest elements, as stars.
+
+    An element that no other set has needs no list: what counts is how many of
+    a set's elements others have, and where those stand behind the others.
+    """
+    each = found.filter((F.col("n") > small) | (F.floor(F.col("n") * join.den / join.num) > small)).select("k", "n", F.explode("tokens").alias("key"))
+    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    least = _ceil_div(F.col("n") * join.num, join.den)
+    own = Window.partitionBy("k")
+    placed = each.join(often, "key").withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("place", F.row_number().over(own.orderBy("often", "key")))
+    rare = placed.filter(F.col("place") <= F.col("shared") - least + 1).select("k", "key")
+    entries = staged(rare.unionByName(found.select("k", F.explode("keys").alias("key"))), "rare-entries")
+    hubs = entries.groupBy("key").agg(F.min("k").alias("hub"), F.count(F.lit(1)).alias("often")).filter("often > 1")
+    return entries.join(hubs, "key").filter("k <> hub").select(F.col("k").alias("a"), F.col("hub").alias("b"))
 
 
 def linked(sets: list[np.ndarray], join: Join) -> np.ndarray:
@@ -346,58 +363,44 @@ def _trees(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
-    """(a, b, links): trees of true links between classes, and with b null the number of documents that class a links with."""
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    classes = sets.filter("n > 0").groupBy("cls", "short").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    chosen = groups.join(sizes, "root").select(F.col("node").alias("short"), "root", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")).join(classes, "short").drop("short")
-    chosen = staged(chosen, "candidates")
-    wanted = F.broadcast(chosen) if chosen.count() <= MOST_BROADCAST else chosen
-    texts = docs.alias("d").join(wanted.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id"))).select("cls", "root", "blocks", "copies", "text")
-
-    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Words()
-        for batch in batches:
-            own = [shingles(t, join.width, known) for t in batch["text"]]
-            batch["tokens"] = [t.tobytes() for t in own]
-            same = [len(t) > 0 and class_of(t) == c for t, c in zip(own, batch["cls"], strict=True)]  # ids may repeat
-            yield batch.drop(columns="text")[same]
-
-    rows = texts.mapInPandas(tokens, "cls binary, root long, blocks int, copies long, tokens binary")
+def _true_links(found: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
+    """(a, b, links): trees of true links between sets, and with b null the number of documents that set a links with."""
+    own = groups.join(found, F.col("node") == F.col("k"))
+    sizes = own.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    sizes = staged(sizes, "candidate-groups")
+    if sizes.count() <= MOST_BROADCAST:
+        sizes = F.broadcast(sizes)
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cls", "copies", "tokens")
-    rows = rows.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "cls")
+    rows = own.join(sizes, "root").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "k", "copies", "tokens")
+    rows = rows.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "k")
 
-    def work(group: list[tuple]) -> list[tuple]:
-        one = {r[4]: r for r in group}
-        if len(one) < 2:
+    def work(group: pd.DataFrame) -> list[tuple]:
+        if len(group) < 2:
             return []
-        members = list(one.values())
-        links = linked([np.frombuffer(r[6], dtype=U) for r in members], join)
+        k, side, lo, hi = group["k"].tolist(), group["block"].to_numpy(), *group[["lo", "hi"]].iloc[0]
+        links = linked(list(group["tokens"]), join)
         np.fill_diagonal(links, False)
-        side = np.array([r[3] for r in members])
-        lo, hi = members[0][1:3]
         if lo != hi:
             links &= side[:, None] != side[None, :]
-        out = [(members[x][4], members[y][4], 0) for x, y in _trees(links)]
-        weight = links @ np.array([r[5] for r in members])
-        return out + [(members[i][4], None, int(weight[i])) for i in np.flatnonzero(weight)]
+        weight = links @ group["copies"].to_numpy()
+        return [(k[x], k[y], 0) for x, y in _trees(links)] + [(k[i], None, int(weight[i])) for i in np.flatnonzero(weight)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        piece = ["root", "lo", "hi"]
+        shape = {"a": "Int64", "b": "Int64", "links": "Int64"}
+        open_: list[pd.DataFrame] = []
         for batch in batches:
             out: list[tuple] = []
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if group and group[0][:3] != row[:3]:
-                    out += work(group)
-                    group = []
-                group.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64()))], ["a", "b", "links"])
-        out = work(group) if group else []
-        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64()))], ["a", "b", "links"])
+            for at, part in batch.groupby(piece, sort=False):
+                if open_ and tuple(open_[0][piece].iloc[0]) != at:
+                    out += work(pd.concat(open_, ignore_index=True))
+                    open_ = []
+                open_.append(part)
+            yield pd.DataFrame(out, columns=list(shape)).astype(shape)
+        yield pd.DataFrame(work(pd.concat(open_, ignore_index=True)) if open_ else [], columns=list(shape)).astype(shape)
 
-    return staged(rows.mapInArrow(run, "a binary, b binary, links long"), "true-links")
+    return staged(rows.mapInPandas(run, "a long, b long, links long"), "true-links")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, join: Join = Join()) -> DataFrame:
@@ -411,22 +414,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives no rows. Other columns play no part.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
-    words = F.least(F.greatest(word_count(F.col("text")) - (join.width - 1), F.lit(1)), F.lit(MOST_SMALL + 1))
-    sizes = {r.s: r.n for r in rows.groupBy(words.cast("int").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     sets = staged(_sets(rows, join), "shingle-sets")
-    groups = components(_candidate_links(rows, join, boundary(join, sizes)))
-    links = _verified(rows, sets, groups, join)
+    sizes = {r.s: r.n for r in sets.groupBy(F.least("n", F.lit(MOST_SMALL + 1)).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = boundary(join, sizes)
+    found = _staying(rows, sets, join, small)
+    links = _true_links(found, components(_shared_lists(found, join, small)), join)
     roots = components(links.filter("b IS NOT NULL"))
     degree = links.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
+    near = found.select("cls", "k").join(roots, F.col("k") == F.col("node")).join(degree, F.col("k") == F.col("a"), "left").select("cls", "root", "links")
 
     salt = F.pmod(F.xxhash64("id", "body"), F.lit(SALTS)).cast("int")
     own = sets.filter("n > 0").withColumn("salt", salt)
-    classes = own.groupBy("cls").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.collect_set("salt").alias("salts"))
-    classes = classes.join(roots, classes["cls"] == roots["node"], "left").join(degree, F.col("cls") == F.col("a"), "left")
-    classes = staged(classes.select("cls", "first", "salts", F.coalesce("root", "cls").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
-    joined = classes.filter("root <> cls").select("root").distinct()
-    many = classes.join(joined, "root", "left_semi").groupBy("root").agg(F.min("first").alias("least"))
-    final = classes.join(many, "root", "left").select("cls", F.explode("salts").alias("salt"), F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), "n_links")
+    classes = own.groupBy("cls").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.collect_set("salt").alias("salts")).join(near, "cls", "left")
+    lane = F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")  # a component may hold a third of all sets
+    classes = staged(classes.select("cls", "first", "salts", "root", lane.alias("lane"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+    many = classes.filter("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("least"), F.collect_set("lane").alias("lanes")).withColumn("lane", F.explode("lanes")).drop("lanes")
+    final = classes.join(many, ["root", "lane"], "left").select("cls", F.explode("salts").alias("salt"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), "n_links")
     full = own.join(final, ["cls", "salt"]).select("id", "body", F.col("n").alias("n_shingles"), "component_id", "n_links")
     none = sets.filter("n = 0").select("id", "body", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(none).withColumnRenamed("id", id_col)

@@ -2,11 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyveil.llm import jaccard_join
 from tallyveil.llm.components import components
-from tallyveil.llm.jaccard_join import OP5_SQL, Join, boundary, list_cost, near_copies, one_of_each, signatures, subset_cost
+from tallyveil.llm.jaccard_join import OP5_SQL, Join, boundary, first_keys, list_cost, near_copies, one_of_each, shingle_sets, subset_cost, subset_keys
 
 SCHEMA = "doc_id long, text string, cls string"
 
@@ -71,18 +72,29 @@ def test_against_sql(spark, same_as_sql):
     same_as_sql(near_copies(docs).drop("body"), OP5_SQL, {"documents": docs})
 
 
-def test_linked_sets_share_a_list():
+def test_linked_sets_share_lists():
     rng = np.random.default_rng(3)
-    for join in (Join(), Join(5, 80, 100)):
+    for join in (Join(), Join(5, 80, 100), Join(2, 50, 100)):
         for small in (0, 18, 30):
             for _ in range(300):
                 a = rng.integers(0, 2**63, int(rng.integers(1, 120)), dtype=np.uint64)
                 a = np.unique(a)
                 size = len(a)
-                b = np.unique(np.concatenate([rng.permutation(a)[: size - int(rng.integers(0, size // 8 + 1))], rng.integers(0, 2**63, int(rng.integers(0, size // 8 + 1)), dtype=np.uint64)]))
+                b = np.unique(np.concatenate([rng.permutation(a)[: size - int(rng.integers(0, size // 4 + 1))], rng.integers(0, 2**63, int(rng.integers(0, size // 4 + 1)), dtype=np.uint64)]))
                 both = len(np.intersect1d(a, b))
-                if join.den * both >= join.num * (len(a) + len(b) - both):
-                    assert len(np.intersect1d(signatures(a, join, small), signatures(b, join, small)))
+                linked = join.den * both >= join.num * (len(a) + len(b) - both)
+                if linked and size <= small and len(b) <= small:
+                    assert len(np.intersect1d(subset_keys(a, join, small), subset_keys(b, join, small)))
+                elif linked:
+                    shared = len(np.intersect1d(first_keys(a, join, small), first_keys(b, join, small)))
+                    assert shared >= join.wanted(join.least(size)) and shared >= join.wanted(join.least(len(b)))
+
+
+def test_words_and_very_long_texts(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SLICE", 40)
+    texts = ["", None, " \n", "a", "A b", "a\tb\x0bc  d ", "É é " * 30, "x y z " * 200, "last one here"]
+    sizes = [len(s) for s in shingle_sets(pa.array(texts, pa.string()), 3)]
+    assert sizes == [len(s) for s in sets_of([(None, t) for t in texts], 3)]
 
 
 def test_boundary_follows_cost():
