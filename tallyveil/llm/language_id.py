@@ -1,15 +1,12 @@
 """Language identification, word first, with backoff to character n-grams.
 
-Training counts every word of every labelled text, by language, in one
-distributed aggregation; n-grams are counted over the different words of each
-language, so that frequent words don't drown the rest. A word that training
-has not seen is scored by n-grams: at each of its places by the longest known
-one, from `longest` letters down to one.
-
-Nothing that was learned is dropped. The `max_words` most frequent words and
-the `max_grams` most frequent n-grams of each length are broadcast and scored
-in place; all words and n-grams are tables, and the distinct words and n-grams
-beyond the broadcast ones are looked up in those by joins.
+Training takes a sample of labelled rows of each language, bounded in rows and
+characters, and counts every word of it by language in one distributed
+aggregation; n-grams are counted over the different words of each language, so
+that frequent words don't drown the rest. All that the sample holds is kept:
+the bounds of the sample bound the model, which is broadcast. A word that
+training has not seen is scored by n-grams: at each of its places by the
+longest known one, from `longest` letters down to one.
 """
 
 from __future__ import annotations
@@ -17,8 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,13 +26,9 @@ from .scratch import staged
 #: Runs of letters (and numerals that aren't decimal digits); case is folded first.
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
-#: Words, and n-grams of each length, that are broadcast; rarer ones are joined.
-MAX_WORDS = 60_000
-MAX_GRAMS = 20_000
-#: Rows up to which the table of n-grams is broadcast to its join (about 150 bytes each).
-MOST_BROADCAST = 500_000
-#: Parts of a hot word's or n-gram's rows.
-SALTS = 16
+#: Rows and characters of each language that training takes, about.
+MOST_ROWS = 5_000
+MOST_CHARACTERS = 20_000_000
 #: Distinct keys that a task holds before it passes its counts on.
 FLUSH = 400_000
 UNKNOWN = "und"
@@ -90,19 +82,13 @@ def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class LanguageModel:
-    """Languages in order of code points, and log frequencies by language of known words and n-grams.
-
-    words and grams are what is broadcast. Where that isn't all, word_table
-    and gram_table hold all of them: word or gram, logs (by language).
-    """
+    """Languages in order of code points, and log frequencies by language of known words and n-grams (place -> row of logs)."""
 
     langs: list[str]
     words: dict[str, int]
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
-    word_table: DataFrame | None = None
-    gram_table: DataFrame | None = None
 
     def unseen(self, word: str) -> list[int]:
         """At every place of the word between its marks the longest known n-gram; a place without any is left out."""
@@ -129,7 +115,7 @@ class LanguageModel:
                 places += found
                 weights += [n / (len(word) + 2)] * len(found)
             if places:
-                total += np.array(weights) @ self.gram_logs[places]
+                total += np.array(weights) @ self.gram_logs[places].astype(float)
         return total
 
     def predict(self, texts: pd.Series) -> pd.DataFrame:
@@ -147,140 +133,40 @@ class LanguageModel:
             scores.append(float(1 / share.sum()))
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    def started(self, texts: pd.Series) -> pd.DataFrame:
-        """For each text: sums of logs over the broadcast words, the number of words (0 without a letter), and the other words with their counts."""
-        rows = []
-        for text in texts:
-            words = WORD.findall(text.lower()) if text else []
-            if not any(any(map(str.isalpha, w)) for w in words):
-                words = []
-            known = [at for at in map(self.words.get, words) if at is not None]
-            total = self.word_logs[known].sum(axis=0, dtype=float) if known else np.zeros(len(self.langs))
-            rest = Counter([w for w in words if w not in self.words]) if len(known) < len(words) else {}
-            rows.append((total, len(words), list(rest), list(rest.values())))
-        return pd.DataFrame(rows, columns=["total", "n_words", "rest", "times"])
-
-    def longest(self, text: str) -> tuple[int, np.ndarray]:
-        """Length and logs of the longest broadcast n-gram that text begins with; 0 and zeros without any."""
-        for n in range(min(LONGEST, len(text)), 0, -1):
-            at = self.grams.get(text[:n])
-            if at is not None:
-                return n, self.gram_logs[at]
-        return 0, np.zeros(len(self.langs))
-
-    def longer(self, word: str) -> tuple[np.ndarray, list[tuple[int, str]]]:
-        """Sum of logs of the longest broadcast n-grams at all places, and (place, n-gram) of all longer ones."""
-        marked, total, more = f"<{word}>", np.zeros(len(self.langs)), []
-        for i in range(len(marked)):
-            n, logs = self.longest(marked[i : i + LONGEST])
-            total += logs
-            more += [(i, marked[i : i + m]) for m in range(n + 1, min(LONGEST, len(marked) - i) + 1)]
-        return total, more
-
 
-def _table(counts: DataFrame, key: str, langs: list[str], totals: dict[str, int], most: int) -> tuple[dict[str, int], dict[str, list[int]], DataFrame, bool]:
-    """The `most` keys with the highest totals, ties by key, with their counts by language; all keys with logs, and whether there are more than `most`."""
-    sums = staged(counts.groupBy(key).agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")), f"{key}-table")
-    rows = sums.orderBy(F.desc("n"), key).limit(most).collect()
-    every = float(max(1, sum(totals.values())))
-    log = [F.log(F.coalesce(F.try_element_at("by", F.lit(lang)), F.lit(0)) + SMOOTH * F.col("n") / every) - float(np.log(totals[lang] + SMOOTH)) for lang in langs]
-    logs = F.array(*log) if langs else F.array().cast("array<double>")
-    return {r[key]: i for i, r in enumerate(rows)}, {lang: [r["by"].get(lang, 0) for r in rows] for lang in langs}, sums.select(key, logs.alias("logs")), sums.count() > most
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_rows: int, most_characters: int) -> DataFrame:
+    """(lang, text) of rows chosen by a hash of the id, so many of each language that neither bound is expected to be passed."""
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("h")).dropna(subset=["lang", "text"])
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("characters"))
+    share = F.least(F.lit(1.0), F.lit(most_rows) / F.col("rows"), F.lit(most_characters) / F.greatest("characters", F.lit(1)))
+    shares = staged(sizes.select("lang", share.alias("share")), "language-shares")
+    return rows.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "text")
 
 
-def _logs(by_lang: dict[str, list[int]], langs: list[str], totals: dict[str, int], size: int) -> np.ndarray:
-    """Log frequencies, a row for each key, smoothed by SMOOTH draws from all languages together."""
-    counts = np.array([by_lang[lang] for lang in langs], dtype=float).reshape(len(langs), size)
-    common = counts.sum(axis=0) / max(1, sum(totals.values()))
-    sums = np.array([totals[lang] for lang in langs], dtype=float)
-    return (np.log(counts + SMOOTH * common) - np.log(sums + SMOOTH)[:, None]).T
+def _log_frequencies(counts: DataFrame, key: str, langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """Keys of counts (key, lang, n), and a row of logs by language for each, smoothed by SMOOTH draws from all languages together."""
+    table = counts.groupBy(key).pivot("lang", langs).agg(F.sum("n")).toArrow() if langs else counts.select(key).limit(0).toArrow()
+    n = np.array([table.column(i + 1).fill_null(0).to_numpy() for i in range(len(langs))], dtype=float).reshape(len(langs), table.num_rows)
+    sums = n.sum(axis=1)
+    common = n.sum(axis=0) / max(1.0, sums.sum())
+    return table.column(0).to_pylist(), (np.log(n + SMOOTH * common) - np.log(sums + SMOOTH)[:, None]).T
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """Learns from all rows of docs with text and language; without such rows the model knows no language."""
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, most_rows: int = MOST_ROWS, most_characters: int = MOST_CHARACTERS) -> LanguageModel:
+    """Learns from about most_rows rows and most_characters characters of each language; without rows that have text and language the model knows no language."""
+    rows = _sample(docs, id_col, text_col, lang_col, most_rows, most_characters)
     counted = rows.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = staged(counted, "word-counts")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
-    words, by_word, word_table, more = _table(counts, "word", langs, totals, max_words)
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    words, word_logs = _log_frequencies(counts, "word", langs)
     grams = staged(counts.mapInPandas(_gram_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
-    known: dict[str, int] = {}
-    logs, tables = [], []
+    known: list[str] = []
+    logs = []
     for n in range(1, LONGEST + 1):
-        of_n = grams.filter(F.length("gram") == n)
-        sums = {r["lang"]: r["n"] for r in of_n.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        sums = {lang: sums.get(lang, 0) for lang in langs}
-        at, by_gram, table, beyond = _table(of_n, "gram", langs, sums, max_grams)
-        logs.append(_logs(by_gram, langs, sums, len(at)))
-        tables.append(table)
-        more |= beyond
-        start = len(known)
-        known |= {g: i + start for g, i in at.items()}
-    model = LanguageModel(langs, words, _logs(by_word, langs, totals, len(words)), known, np.concatenate(logs))
-    return replace(model, word_table=word_table, gram_table=reduce(DataFrame.unionByName, tables)) if more else model
-
-
-def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """rows (with a salt) joined to table (distinct keys): a key's row is copied once for each of its salts in use, so that a hot key is spread."""
-    used = rows.groupBy(key).agg(F.collect_set("salt").alias("salts"))
-    return rows.join(used.join(table, key).withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"])
-
-
-def _summed(column: str, langs: list[str], by: Column | float = 1.0) -> Column:
-    return F.array(*[F.sum(F.col(column)[i] * by) for i in range(len(langs))])
-
-
-def _unseen_logs(words: DataFrame, model: LanguageModel, shared) -> DataFrame:
-    """word, logs of distinct words that training has not seen: means over places, each by its longest known n-gram."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [(word, *shared.value.longer(word)) for word in batch["word"]]
-            yield pd.DataFrame([(word, total, [x[0] for x in more], [x[1] for x in more]) for word, total, more in found], columns=["word", "total", "place", "gram"])
-
-    def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            beyond = batch[~batch["gram"].isin(shared.value.grams)]
-            yield pd.DataFrame([(gram, logs - shared.value.longest(gram)[1]) for gram, logs in zip(beyond["gram"], beyond["logs"], strict=True)], columns=["gram", "gain"])
-
-    # What an n-gram adds where it is the longest: its logs less those of the broadcast one that it begins with.
-    table = staged(model.gram_table.mapInPandas(gains, "gram string, gain array<double>"), "gram-gains")
-    based = staged(words.mapInPandas(run, "word string, total array<double>, place array<int>, gram array<string>"), "unseen-words")
-    each = based.select("word", F.explode(F.arrays_zip("place", "gram")).alias("x")).select("word", "x.*", F.pmod(F.xxhash64("word"), F.lit(SALTS)).alias("salt"))
-    known = each.join(F.broadcast(table), "gram") if table.count() <= MOST_BROADCAST else _looked_up(each, table, "gram")
-    best = known.groupBy("word", "place").agg(F.max_by("gain", F.length("gram")).alias("gain"))
-    gain = best.groupBy("word").agg(_summed("gain", model.langs).alias("gain"))
-    total = F.when(F.col("gain").isNull(), F.col("total")).otherwise(F.zip_with("total", "gain", lambda a, b: a + b))
-    return based.select("word", "total").join(gain, "word", "left").select("word", F.transform(total, lambda x: x / (F.length("word") + 2)).alias("logs"))
-
-
-def _predict_by_tables(docs: DataFrame, model: LanguageModel, id_col: str, text_col: str) -> DataFrame:
-    """`predict` where not all words and n-grams are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, word_table=None, gram_table=None))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = shared.value.started(batch["text"])
-            out.insert(0, "id", batch["id"])
-            yield out
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    begun = rows.mapInPandas(run, "id string, total array<double>, n_words long, rest array<string>, times array<long>")
-    begun = staged(begun.withColumn("row", F.monotonically_increasing_id()), "texts-begun")
-    tail = begun.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("times"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
-    seen = staged(tail.select("word").distinct().join(model.word_table, "word", "left"), "tail-words")
-    logs = seen.filter("logs IS NOT NULL").unionByName(_unseen_logs(seen.filter("logs IS NULL").select("word"), model, shared))
-    more = _looked_up(tail, logs, "word").groupBy("row").agg(_summed("logs", model.langs, F.col("times")).alias("more"))
-    both = begun.select("row", "id", "total", "n_words").join(more, "row", "left")
-    total = F.when(F.col("more").isNull(), F.col("total")).otherwise(F.zip_with("total", "more", lambda a, b: a + b))
-    best = both.select("id", "n_words", total.alias("total")).withColumn("best", F.array_max("total"))
-    scale = F.least(F.lit(1.0), F.lit(float(ENOUGH)) / F.greatest("n_words", F.lit(1)))
-    shares = F.aggregate(F.transform("total", lambda x: F.exp((x - F.col("best")) * scale)), F.lit(0.0), lambda a, x: a + x)
-    lang = F.array(*[F.lit(x) for x in model.langs])[(F.array_position("total", F.col("best")) - 1).cast("int")]
-    known = F.col("n_words") > 0
-    return best.select(F.col("id").cast(kind).alias(id_col), F.when(known, lang).otherwise(UNKNOWN).alias("lang_pred"), F.when(known, 1 / shares).otherwise(0.0).alias("score"))
+        of_n, logs_of_n = _log_frequencies(grams.filter(F.length("gram") == n), "gram", langs)
+        known += of_n
+        logs.append(logs_of_n)
+    return LanguageModel(langs, {w: i for i, w in enumerate(words)}, word_logs.astype(np.float32), {g: i for i, g in enumerate(known)}, np.concatenate(logs).astype(np.float32))
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,8 +177,6 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     with the sum scaled down to ENOUGH words for longer texts. Null texts and
     texts without a letter are `und` with score 0. Other columns play no part.
     """
-    if model.word_table is not None:
-        return _predict_by_tables(docs, model, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -309,5 +193,5 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learns from the rows that aren't held out and predicts all: id, held_out, lang_pred, score."""
-    model = fit(docs.filter(~held_out(id_col)), text_col, lang_col)
+    model = fit(docs.filter(~held_out(id_col)), id_col, text_col, lang_col)
     return predict(docs, model, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

@@ -1,4 +1,7 @@
 import binascii
+import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,12 +55,50 @@ def test_language_is_no_input(spark):
     assert a == b
 
 
-@pytest.mark.parametrize("most", [language_id.MOST_BROADCAST, 0])
-def test_nothing_learned_is_dropped(spark, monkeypatch, most):
-    monkeypatch.setattr(language_id, "MOST_BROADCAST", most)
+def test_against_plain_loops(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").unionByName(spark.createDataFrame(ROWS, SCHEMA).drop("score"))
-    learn = docs.filter(~held_out("doc_id"))
-    whole, small = predict(docs, fit(learn)), predict(docs, fit(learn, max_words=40, max_grams=30))
-    a, b = (sorted(map(tuple, x.collect()), key=str) for x in (whole, small))
-    assert [x[:2] for x in a] == [x[:2] for x in b]
-    assert [x[2] for x in a] == pytest.approx([x[2] for x in b])
+    rows = [tuple(r) for r in docs.collect()]
+    words, grams = {}, {}
+    for i, text, lang in rows:
+        if i is not None and binascii.crc32(str(i).encode()) % 3 != 1 and text and lang:
+            words.setdefault(lang, Counter()).update(re.findall(r"[^\W\d_]+", text.lower()))
+    for lang, c in words.items():
+        for w in c:
+            for n in range(1, 6):
+                grams.setdefault((lang, n), Counter()).update(f"<{w}>"[k : k + n] for k in range(len(w) + 3 - n))
+    langs = sorted(words)
+
+    def logs(tables):
+        total = [sum(t.values()) for t in tables]
+        return lambda x: [math.log(t[x] + sum(u[x] for u in tables) / sum(total)) - math.log(n + 1) for t, n in zip(tables, total, strict=True)]
+
+    of_word = logs([words[lang] for lang in langs])
+    of_gram = {n: logs([grams[lang, n] for lang in langs]) for n in range(1, 6)}
+
+    def predicted(text):
+        found = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not found:
+            return UNKNOWN
+        total = [0.0] * len(langs)
+        for w in found:
+            if any(words[lang][w] for lang in langs):
+                total = [a + b for a, b in zip(total, of_word(w), strict=True)]
+                continue
+            marked = f"<{w}>"
+            for k in range(len(marked)):
+                for n in range(min(5, len(marked) - k), 0, -1):
+                    if any(grams[lang, n][marked[k : k + n]] for lang in langs):
+                        total = [a + b / len(marked) for a, b in zip(total, of_gram[n](marked[k : k + n]), strict=True)]
+                        break
+        return langs[total.index(max(total))]
+
+    got = [(r.doc_id, r.lang_pred) for r in identified(docs).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, predicted(text))) for i, text, _ in rows)
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and", "en" if i % 4 else "fr") for i in range(4000)], "doc_id long, text string, lang string")
+    taken = {r.lang: r["count"] for r in language_id._sample(docs, "doc_id", "text", "lang", 300, 10**6).groupBy("lang").count().collect()}
+    assert all(230 < n < 370 for n in taken.values()) and len(taken) == 2
+    few = language_id._sample(docs, "doc_id", "text", "lang", 10**6, 1200).count()
+    assert 100 < few < 320
