@@ -78,7 +78,8 @@ def scan_versions(versions: DataFrame, ledger_path: str, path_col: str = "path",
     versions has a row for every historical version of a path. Null text is
     the empty blob. Repeated rows give repeated results; null paths are kept;
     an empty table gives no rows and leaves the ledger as it was. Spans are
-    sorted by start and rule. Other columns play no part.
+    sorted by start and rule. Other columns play no part. A content reaches
+    its scan once for each task that reads it, and is scanned once.
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -90,7 +91,8 @@ def scan_versions(versions: DataFrame, ledger_path: str, path_col: str = "path",
     unseen.select("blob", "rule_version", secret_spans(F.col("text"), rules).alias("spans")).write.mode("append").parquet(ledger_path)
 
     addressed = staged(versions.select(F.col(path_col).alias("path"), blob.alias("blob"), salt.alias("salt")), "blob-paths")
-    found = open_ledger(spark, ledger_path).filter((F.col("rule_version") == rules.version) & (F.size("spans") > 0)).select("blob", "spans")
+    # Two runs at once may have scanned the same pair; their rows are alike.
+    found = open_ledger(spark, ledger_path).filter((F.col("rule_version") == rules.version) & (F.size("spans") > 0)).groupBy("blob").agg(F.first("spans").alias("spans"))
     spread = addressed.select("blob", "salt").distinct().join(found, "blob")  # at most `salts` rows for a blob
     out = addressed.join(spread, ["blob", "salt"], "left")
     return out.select(F.col("path").alias(path_col), "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))

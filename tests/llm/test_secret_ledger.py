@@ -33,6 +33,16 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert open_ledger(spark, path).count() == 5
 
 
+def test_runs_that_overlap_and_many_matches(spark):
+    path = new_folder(spark, "test-ledger")
+    rows = spark.createDataFrame([("a", "token=abcdef " * 100_000), ("b", "secret=abcdef")], "path string, text string")
+    scan_versions(rows, path).collect()
+    open_ledger(spark, path).write.mode("append").parquet(path)  # as a second run that started at the same time leaves it
+    out = {r.path: r.spans for r in scan_versions(rows, path).collect()}
+    assert [(s.start, s.end) for s in out["a"]] == [(i * 13, i * 13 + 12) for i in range(100_000)]
+    assert len(out) == 2 and scan_versions(rows, path).count() == 2
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert scan_documents(docs).collect() == []
