@@ -21,6 +21,7 @@ BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Windows of a benchmark up to which their set is broadcast (about 100 bytes each).
 MOST_BROADCAST = 1_000_000
+SALTS = 16
 
 
 def lower_ascii(text: Column) -> Column:
@@ -64,9 +65,12 @@ def _hits(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str) -> Data
         same = (F.col("d.hash") == F.col("k.hash")) & (F.col("d.width") == F.col("k.width")) & (F.array_join(piece_of("d"), " ") == F.col("k.gram"))
         joined = seen.join(F.broadcast(known.alias("k")), same)
     else:
-        seen = seen.select("id", "body", "start", "width", F.xxhash64(piece).alias("hash"), F.array_join(piece, " ").alias("gram")).alias("d")
-        same = (F.col("d.hash") == F.col("k.hash")) & (F.col("d.width") == F.col("k.width")) & (F.col("d.gram") == F.col("k.gram"))
-        joined = seen.join(known.alias("k"), same)
+        # Only hashes are shuffled for all windows; the words of those that are known are then fetched and compared.
+        hashed = seen.select("id", "body", "start", "width", F.xxhash64(piece).alias("hash")).join(known.select("width", "hash").distinct(), ["width", "hash"], "left_semi")
+        found = hashed.groupBy("id", "body").agg(F.collect_set(F.struct("start", "width", "hash")).alias("found")).alias("f")
+        back = split.alias("s").join(found, F.col("s.id").eqNullSafe(F.col("f.id")) & (F.col("s.body") == F.col("f.body"))).select("s.id", "s.body", "w", F.explode("found").alias("x"))
+        back = back.select("id", "body", F.col("x.start").alias("start"), F.col("x.width").alias("width"), F.col("x.hash").alias("hash"), F.array_join(F.slice("w", F.col("x.start") + 1, F.col("x.width")), " ").alias("gram")).alias("d")
+        joined = back.join(known.alias("k"), (F.col("d.hash") == F.col("k.hash")) & (F.col("d.width") == F.col("k.width")) & (F.col("d.gram") == F.col("k.gram")))
     hits = joined.select("d.id", "d.body", F.col("d.start").alias("start"), F.col("d.width").alias("width"), F.col("k.gram").alias("gram"))
     return hits.groupBy("id", "body").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("at"), F.collect_set("gram").alias("grams"))
 
@@ -86,6 +90,14 @@ def _covered(at: Column) -> Column:
     return F.aggregate(at, first, step, lambda seen: seen["n"])
 
 
+def _items_of(hits: DataFrame, grams: DataFrame) -> DataFrame:
+    """hits with the items of their windows; a window that a third of all documents have is spread over salts where the windows aren't broadcast."""
+    if grams.count() <= MOST_BROADCAST:
+        return hits.join(F.broadcast(grams), "gram")
+    salted = grams.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return hits.withColumn("salt", F.pmod(F.xxhash64("id", "body"), F.lit(SALTS)).cast("int")).join(salted, ["gram", "salt"]).drop("salt")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW) -> DataFrame:
     """One row for each document: id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -98,7 +110,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """
     grams = staged(benchmark_windows(items, item_col, item_text_col, window=window), "benchmark-windows")
     hits = staged(_hits(docs, grams, id_col, text_col).select("id", "body", _covered(F.col("at")).alias("n_hit"), "grams"), "window-hits")
-    listed = hits.select("id", "body", F.explode("grams").alias("gram")).join(grams.select("gram", F.struct(F.col("item").cast("string").alias("item")).alias("item")), "gram")
+    listed = _items_of(hits.select("id", "body", F.explode("grams").alias("gram")), grams.select("gram", F.struct(F.col("item").cast("string").alias("item")).alias("item")))
     listed = listed.groupBy("id", "body").agg(F.array_sort(F.collect_set("item")).alias("items"))
     found = hits.drop("grams").alias("h").join(listed.alias("l"), F.col("h.id").eqNullSafe(F.col("l.id")) & (F.col("h.body") == F.col("l.body"))).select("h.id", "h.body", "n_hit", "items")
     counted = docs.select(*_row(id_col, text_col), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD + "+")), F.lit(0)).cast("long").alias("n_words"))
@@ -116,12 +128,21 @@ def _with_hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, it
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW) -> DataFrame:
-    """The documents without any benchmark window, with all their columns."""
+    """The documents without any benchmark window, with all their columns, whatever their names.
+
+    Null and empty texts have no window and stay; repeated rows stay or go
+    together; null items and items without words give no window; an empty
+    table on either side gives no rows or takes none away.
+    """
     return _with_hits(docs, items, id_col, text_col, item_col, item_text_col, window).filter("at IS NULL").select("row.*")
 
 
 def without_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW) -> DataFrame:
-    """All documents, with the hit words (and the breaks before them) cut from their texts."""
+    """All documents, with the hit words (and the breaks before them) cut from their texts.
+
+    Texts without a hit stay as they are, null ones too; overlapping windows
+    are cut once; repeated rows are cut alike; an empty table gives no rows.
+    """
     both = _with_hits(docs, items, id_col, text_col, item_col, item_text_col, window)
     text = F.col(f"row.`{text_col}`")
     pieces = F.regexp_extract_all(text, F.lit(f"{BREAK}*{WORD}+"), F.lit(0))
