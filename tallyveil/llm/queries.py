@@ -14,42 +14,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from rows that aren't held out; edge cases as in `language_id.predict`."""
     return language_id.identified(_table(spark, sf_dir, "documents"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents; edge cases as in `exact_dedup.exact_groups`."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document through a new ledger; edge cases as in `secret_ledger.scan_versions`."""
     return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are on many sites; edge cases as in `line_dedup.line_spread`."""
     return line_dedup.line_spread(_table(spark, sf_dir, "documents"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked documents by 3-word shingles at 0.9; edge cases as in `jaccard_join.near_copies`."""
     return jaccard_join.near_copies(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document; edge cases as in `pii.personal_data`."""
     return pii.personal_data_digest(_table(spark, sf_dir, "documents"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document; edge cases as in `mixing.mixture`."""
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page; edge cases as in `url_filter.judged`."""
     return url_filter.judged(_table(spark, sf_dir, "pages"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages of every document; edge cases as in `decontaminate.contamination`."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from rows that aren't held out; edge cases as in `quality.scored`."""
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
@@ -64,5 +74,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": line_dedup.OP4_SQL,
         "op5_jaccard_join": jaccard_join.OP5_SQL,
         "op7_source_mixing": mixing.OP7_SQL,
+        "op8_url_filter": url_filter.op8_sql(),
         "op9_decontamination": decontaminate.OP9_SQL,
     }

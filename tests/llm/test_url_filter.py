@@ -3,7 +3,7 @@ import re
 import pytest
 
 from tallyveil.llm import url_filter
-from tallyveil.llm.url_filter import DAMPING, ROUNDS, RULES, host_links, judged, propagate
+from tallyveil.llm.url_filter import DAMPING, ROUNDS, RULES, THRESHOLD, host_links, judged, op8_sql, propagate
 
 ROWS = [
     (1, "http://WWW.Example.com/en/x?y", '<a href="http://mid.org/p">m</a>'), (2, "https://example.com/en/#a", '<a href="//bad.net/es/">b</a>'), (3, "http://sub.example.com/de/", "<a href='/rel'>r</a>"),
@@ -33,10 +33,8 @@ def plain(rows, rules=RULES):
     ruled = [(i, h, p, *best(h, p)) for i, h, p in sites]
     seeds = {}
     for h in {x[1] for x in ruled if x[4]}:
-        of = [x[4] for x in ruled if x[1] == h and x[4]]
+        of = [x[4] for x in ruled if x[1] == h]
         seeds[h] = (of.count("allow") / len(of), of.count("block") / len(of))
-    t, d = (sum(s[k] for s in seeds.values()) or 1 for k in (0, 1))
-    seeds = {h: (a / t, b / d) for h, (a, b) in seeds.items()}
     edges = {}
     for _, u, html in rows:
         for link in re.findall(r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)""", html or ""):
@@ -51,7 +49,7 @@ def plain(rows, rules=RULES):
             new.setdefault(e, [0, 0])[0] += DAMPING * rank.get(s, (0, 0))[0] * n / out
             new.setdefault(s, [0, 0])[1] += DAMPING * rank.get(e, (0, 0))[1] * n / into
         rank = new
-    over = {h for h, (a, b) in rank.items() if b > a}
+    over = {h for h, (a, b) in rank.items() if b - a > THRESHOLD * (1 - DAMPING)}
     return [(i, h, p, r, v or ("block" if h in over else "allow")) for i, h, p, r, v in ruled], rank
 
 
@@ -67,6 +65,22 @@ def test_edge_rows(spark, monkeypatch, most):
     assert verdicts[6] == "block" and verdicts[5] == "allow" and verdicts[7] == "allow" and verdicts[1] == "allow" and verdicts[2] == "block"
 
 
+def test_against_sql(spark, same_as_sql):
+    same_as_sql(judged(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")), op8_sql())
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    same_as_sql(judged(pages), op8_sql(), {"pages": pages})
+
+
+def test_hub_and_extra_columns(spark):
+    hub = [(i, f"http://leaf{i}.org/", '<a href="http://hub.org/">h</a>') for i in range(300)] + [(1000, "http://hub.org/", '<a href="http://bad.net/es/">b</a>'), (1001, "http://bad.net/es/", "")]
+    pages = spark.createDataFrame([(*r, "h", "p", "s") for r in hub], SCHEMA + ", host string, path string, salt string")
+    want, rank = plain(hub)
+    got = judged(pages).collect()
+    assert sorted(tuple(r)[:5] for r in got if r.rule) == sorted(w for w in want if w[3])
+    assert sorted(r.page_id for r in got if r.verdict == "block") == [w[0] for w in want if w[4] == "block"] == [1000, 1001]
+    assert {r.host: pytest.approx(r.distrust) for r in got if r.host in rank} == {h: d for h, (_, d) in rank.items()}
+
+
 def test_whole_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
