@@ -9,11 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .operators import aggregates, diff, joins, keys, noise, quality, quantile, rows, special, truncate
 from .operators.bins import Bins
-from .plans import budget, report, tabulate
-from .sources import readers
+from .plans import budget, characteristics, report, tabulate
+from .plans.builder import Query as Steps
+from .sources import readers, records
+from .spec import ColumnSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,9 +296,9 @@ def truncate_rows(spark, d):
     return truncate.truncate_groups(table(spark, d, "events").select("event_id", "user_id", "event_type"), ["user_id"], 3)
 
 
-@query("SELECT event_id, user_id FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE n <= 10")
+@query("SELECT o_orderkey, o_custkey FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n <= 15")
 def drop_large_groups(spark, d):
-    return truncate.drop_large_groups(table(spark, d, "events").select("event_id", "user_id"), ["user_id"], 10)
+    return truncate.drop_large_groups(table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"], 15)
 
 
 @query(f"""
@@ -398,11 +401,11 @@ def region_columns(spark, d):
 # noise and its after-care
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type HAVING count(*) > 5")
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > ceil(-2.0 * ln((1 - 0.999) * (1 + exp(-1 / 2.0))) - 1)")
 def suppress_small(spark, d):
-    e = table(spark, d, "events")
-    out = aggregates.count(e, keys.keys_from_rows(e, ["event_type"]), "n", noise.mechanism(float("inf")))
-    return noise.suppressed(out, "n", noise.suppression_threshold(0.0, 0.9999) + 5)
+    o = table(spark, d, "orders")
+    out = aggregates.count(o, keys.keys_from_rows(o, ["o_custkey"]), "n", noise.mechanism(float("inf")))
+    return noise.suppressed(out, "n", noise.suppression_threshold(2.0, 0.999))
 
 
 @query("SELECT o_orderkey, greatest(o_custkey - 700, 0) AS n FROM orders")
@@ -430,6 +433,13 @@ def noise_fit(spark, d):
     return out.withColumns({"expected": F.round("expected", 4), "part": F.round("part", 4)})
 
 
+@query()
+def noise_fit_of_draws(spark, d):
+    """Draws of geometric noise, one for each line item, against their distribution."""
+    drawn = noise.released(table(spark, d, "lineitem").select(noise.geometric_noise(F.col("l_linenumber") * 0, 2.0).alias("k")))
+    return noise.noise_fit(drawn, "k", 2.0, 8)
+
+
 @query()
 def keyed_count_noisy(spark, d):
     return aggregates.count(table(spark, d, "lineitem"), flag_keys(spark), "n", noise.mechanism(1.0))
@@ -775,7 +785,7 @@ def id_diff(spark, d):
     return diff.ids_changed({"orders": two_orders(spark, d)}, "o_custkey")
 
 
-@query("SELECT CAST(NULL AS BIGINT) AS distance")
+@query(f"WITH {DIFF} SELECT CASE WHEN (SELECT count(*) FROM a) = (SELECT count(*) FROM b) THEN CAST(0 AS BIGINT) END AS distance")
 def hamming_sizes_differ(spark, d):
     return diff.hamming_distance(*two_orders(spark, d))
 
@@ -809,3 +819,222 @@ def apply_to_groups(spark, d):
     o = table(spark, d, "orders").select("o_orderpriority", (F.col("o_totalprice") * 100).cast("long").alias("c"))
     listed = keys.keys_from_rows(o, ["o_orderpriority"]).filter("o_orderpriority <> '5-LOW'").union(keys.keys_from_values(spark, {"k": ["absent"]}))
     return aggregates.apply_to_groups(o, listed, lambda g: g.groupby("o_orderpriority", as_index=False).agg(cents=("c", "max")), "o_orderpriority string, cents long", {"cents": -1})
+
+
+# record layouts
+
+PERSON_FIELDS = {
+    "RTYPE": ("substr('354', CAST(o_orderkey % 3 + 1 AS INTEGER), 1)", "o_orderkey % 3 = 2"),
+    "MAFID": ("lpad(CAST(o_custkey + 100000001 AS STRING), 9, '0')", "false"),
+    "CUF_PNC": ("lpad(CAST(o_orderkey % 1000 AS STRING), 5, '0')", "o_orderkey % 1000 = 0"),
+    "BCUSTATEFP": ("lpad(CAST(o_custkey % 80 AS STRING), 2, '0')", "o_custkey % 80 IN (0, 3, 7, 14, 43, 52) OR o_custkey % 80 > 56 AND o_custkey % 80 <> 72"),
+    "VERSION": ("'00001'", "false"),
+    "QSEX": ("CAST(o_orderkey % 4 AS STRING)", "o_orderkey % 4 IN (0, 3)"),
+    "QAGE": ("lpad(CAST(o_orderkey % 130 AS STRING), 3, ' ')", "o_orderkey % 130 > 115"),
+    "QDB": ("'19900415'", "false"),
+    "QDOB_MONTH": ("lpad(CAST(o_orderkey % 14 AS STRING), 2, '0')", "o_orderkey % 14 IN (0, 13)"),
+    "QDOB_DAY": ("' 5'", "false"),
+    "QDOB_YEAR": ("CAST(1900 + o_orderkey % 100 AS STRING)", "o_orderkey % 100 < 4"),
+    "QSPAN": ("lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')", "o_orderkey % 10000 < 1000 OR o_orderkey % 10000 > 9000 AND o_orderkey % 10000 NOT IN (9100, 9200, 9500, 9900, 9950)"),
+    "QSPANX": ("'7'", "false"),
+    "CENHISP": ("'2'", "false"),
+    "QRACE1": ("'    '", "true"),
+    "QRACE2": ("CASE WHEN o_orderkey % 2 = 0 THEN '    ' ELSE '0999' END", "o_orderkey % 2 = 1"),
+    **{f"QRACE{i}": ("'    '", "false") for i in range(3, 9)},
+    "QRACEX": ("'x'", "true"),
+    "CENRACE": ("lpad(CAST(o_orderkey % 70 AS STRING), 2, '0')", "o_orderkey % 70 = 0 OR o_orderkey % 70 > 63"),
+    "RACE2010": ("'31'", "false"),
+    "RELSHIP": ("lpad(CAST(o_orderkey % 45 AS STRING), 2, '0')", "o_orderkey % 45 NOT BETWEEN 20 AND 38"),
+    "QGQTYP": ("CASE WHEN o_orderkey % 2 = 0 THEN '   ' ELSE '107' END", "o_orderkey % 2 = 1"),
+    "LIVE_ALONE": ("'0'", "false"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{f}' AS field, count(*) AS checked, count(*) FILTER ({bad}) AS broken FROM orders" for f, (_, bad) in PERSON_FIELDS.items()))
+def person_record_rules(spark, d):
+    line = F.expr(f"concat({', '.join(x for x, _ in PERSON_FIELDS.values())})")
+    lines = table(spark, d, "orders").select(line.alias("value"))
+    layout = records.record(records.PERSON)
+    return records.field_report(records.fixed_records(lines, layout), layout)
+
+
+@query("""SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS BCUSTATEFP, count(*) AS COUNT_UNIT, count(*) FILTER (c_acctbal > 0) AS COUNT_UNIT_HU, CASE WHEN c_nationkey % 2 = 0 THEN 'VERSION' ELSE '' END AS broken
+FROM customer GROUP BY c_nationkey""")
+def control_records(spark, d):
+    own = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("h"))
+    wide = lambda c: F.lpad(F.col(c).cast("string"), 10, "0")
+    line = F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.when(F.col("c_nationkey") % 2 == 0, "two  ").otherwise("    2"), wide("n"), wide("h"), *[F.lit("0000000000")] * 4)
+    layout = records.record(records.CONTROL)
+    found = records.broken_fields(records.fixed_records(own.select(line.alias("value")), layout), layout)
+    return found.select("BCUSTATEFP", F.col("COUNT_UNIT").cast("long").alias("COUNT_UNIT"), F.col("COUNT_UNIT_HU").cast("long").alias("COUNT_UNIT_HU"), F.array_join("broken", ",").alias("broken"))
+
+
+@query("SELECT o_orderkey % 3 AS state, o_orderkey % 7 = 0 AS well_formed, concat_ws(',', CASE WHEN o_orderkey % 3 = 0 THEN 'RTYPE' END, CASE WHEN o_orderkey % 7 <> 0 THEN 'HHSEX' END) AS broken, count(*) AS n FROM orders GROUP BY ALL")
+def unit_records_piped(spark, d):
+    fields = ["CAST(o_orderkey % 3 * 2 AS STRING)", "'100000001'", "'72'", "'0'", "'  12'", "' 40'", "' '", "'6'", "'63'", "'4'", "'0'", "'0'", "'7'", "'   '", "' '", "'123'", "'7'", "'12'", "'5'", "'0'", "'2'", "'4'", "'0'", "' 9'", "'10'", "'99'", "'4'", "CASE WHEN o_orderkey % 7 = 0 THEN '2' END"]
+    lines = table(spark, d, "orders").select("o_orderkey", F.expr(f"concat_ws('|', {', '.join(fields)})").alias("value"))
+    layout = records.record(records.UNIT)
+    out = records.broken_fields(records.piped_records(lines, layout), layout)
+    state = (F.col("RTYPE").cast("int") / 2).cast("long")
+    return out.groupBy(state.alias("state"), "well_formed", F.array_join("broken", ",").alias("broken")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT c_custkey AS MAFID, CASE n_regionkey + 3 WHEN 6 THEN 4 WHEN 7 THEN 5 ELSE n_regionkey + 3 END AS HHT, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Null' ELSE c_mktsegment END AS CODE, o_orderkey AS PERSON_ID
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey WHERE o_orderpriority = '2-HIGH' AND c_nationkey <> 3""")
+def unit_assembly(spark, d):
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    u = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.col("c_custkey").alias("mafid"), F.col("c_nationkey").alias("block_id"), F.when(F.col("c_nationkey") == 3, 0).otherwise(F.col("n_regionkey") + 3).alias("hht"), F.when(F.col("c_mktsegment") == "BUILDING", " ").otherwise(F.col("c_mktsegment")).alias("code"))
+    p = table(spark, d, "orders").select(F.col("o_custkey").alias("mafid"), F.col("o_orderkey").alias("person_id"), F.col("o_orderpriority").alias("relship"))
+    g = n.select(F.col("n_nationkey").alias("block_id"), "n_name")
+    return readers.units(p, u, g, householder=["2-HIGH"], codes=["code"], columns=["MAFID", "HHT", "CODE", "PERSON_ID"])
+
+
+@query("SELECT k AS block_id, s_name FROM (SELECT DISTINCT o_custkey AS k FROM orders) LEFT JOIN supplier ON s_suppkey = k")
+def block_geography(spark, d):
+    u = table(spark, d, "orders").select(F.col("o_custkey").alias("block_id"))
+    return readers.geography_of_units(table(spark, d, "supplier").select(F.col("s_suppkey").alias("block_id"), "s_name"), u)
+
+
+@query("SELECT count(*) AS records FROM lineitem UNION ALL SELECT count(*) FROM orders")
+def file_records(spark, d):
+    both = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k")).unionByName(table(spark, d, "orders").select(F.col("o_orderkey").alias("k")))
+    name = F.regexp_extract("file", r"(lineitem|orders)\.parquet", 1)
+    return readers.file_counts(both).groupBy(name.alias("table")).agg(F.sum("records").alias("records")).select("records")
+
+
+# checks of table sets
+
+
+@query("SELECT 'r_regionkey' AS column, count(*) AS checked, count(*) FILTER (n_regionkey + n_nationkey % 2 NOT IN (SELECT r_regionkey FROM region)) AS invalid FROM nation")
+def rules_of_code_table(spark, d):
+    rule = quality.rules_from_codes(table(spark, d, "region"), "r_regionkey", "r_regionkey")
+    n = table(spark, d, "nation").select((F.col("n_regionkey") + F.col("n_nationkey") % 2).alias("r_regionkey"))
+    return quality.rule_report(n, [rule]).drop("examples")
+
+
+@query("""SELECT 3 AS phase, 'customers without orders' AS problem, count(*) AS rows FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) HAVING count(*) > 0
+UNION ALL SELECT 3, 'repeated order keys', count(*) FROM (SELECT o_custkey, o_orderstatus FROM orders GROUP BY ALL HAVING count(*) > 1) HAVING count(*) > 0""")
+def phased_check(spark, d):
+    tables = {t: table(spark, d, t) for t in ("nation", "customer", "orders")}
+    prior = {"nation": [quality.Range("n_nationkey", 0, 25)], "orders": [quality.Values("o_orderstatus", ("O", "F", "P"))]}
+    rebuilt = lambda ts: {"customer": [quality.rules_from_codes(ts["nation"], "n_nationkey", "c_nationkey")]}
+    orphans = quality.Check("customers without orders", lambda ts: ts["customer"].join(ts["orders"], F.col("c_custkey") == F.col("o_custkey"), "left_anti"))
+    twice = quality.Check("repeated order keys", lambda ts: quality.duplicate_keys(ts["orders"], ["o_custkey", "o_orderstatus"]))
+    return quality.phased_problems(tables, prior, rebuilt, [orphans, twice])
+
+
+@query("SELECT 1 AS phase, 'orders.o_orderstatus' AS problem, count(*) AS rows FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 1, 'nation.n_nationkey', count(*) FROM nation WHERE n_nationkey >= 20")
+def phased_check_stops(spark, d):
+    tables = {t: table(spark, d, t) for t in ("nation", "orders")}
+    prior = {"nation": [quality.Range("n_nationkey", 0, 20)], "orders": [quality.Values("o_orderstatus", ("O", "F"))]}
+    return quality.phased_problems(tables, prior, lambda ts: 1 / 0, [])
+
+
+@query("SELECT 'o_custkey' AS column, 'null' AS problem, count(*) FILTER (o_orderkey % 10 = 0) AS rows FROM orders UNION ALL SELECT 'o_totalprice', 'NaN', count(*) FILTER (o_orderkey % 3 = 0) FROM orders UNION ALL SELECT 'o_orderstatus', 'is VARCHAR, not INTEGER', 0 UNION ALL SELECT 'more', 'absent', 0 UNION ALL SELECT 'o_orderkey', 'unexpected', 0")
+def spec_check(spark, d):
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    o = o.select("o_orderkey", F.when(k % 10 != 0, F.col("o_custkey")).alias("o_custkey"), F.when(k % 3 == 0, float("nan")).otherwise(F.col("o_totalprice").cast("double")).alias("o_totalprice"), "o_orderstatus")
+    spec = {"o_custkey": ColumnSpec("INTEGER", nulls=False), "o_totalprice": ColumnSpec("DECIMAL"), "o_orderstatus": ColumnSpec("INTEGER"), "more": ColumnSpec("DATE")}
+    return special.spec_problems(o, spec)
+
+
+# tables with an id
+
+
+@query(f"""
+WITH e AS (SELECT o_custkey, o_orderkey, n_regionkey, l_linenumber FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'),
+k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {order_of("o_custkey", "o_orderkey", "n_regionkey", "l_linenumber")}) AS pos FROM e)
+SELECT r_regionkey AS n_regionkey, count(pos) AS n FROM region LEFT JOIN (SELECT * FROM k WHERE pos <= 5) ON n_regionkey = r_regionkey GROUP BY r_regionkey""")
+def count_by_limited_ids(spark, d):
+    session = budget.Session(float("inf"), noise.release_folder(spark))
+    session.add_private("orders", table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), id_column="o_custkey")
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    session.add_public("homes", c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.col("c_custkey").alias("o_custkey"), "n_regionkey"))
+    session.add_public("lines", table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber"))
+    q = Steps("orders").filter("o_orderstatus <> 'P'").select("o_custkey", "o_orderkey").join_public("homes", ["o_custkey"]).join_public("lines", ["o_orderkey"], most=7)
+    q = q.select("o_custkey", "o_orderkey", "n_regionkey", "l_linenumber").limit_rows_per_id(5)
+    regions = keys.keys_from_rows(table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("n_regionkey")), ["n_regionkey"])
+    return session.run(q.groupby(regions).count("n"), float("inf"))
+
+
+@query("SELECT o_orderkey, p FROM (SELECT o_orderkey, unnest(range(0, least(3, o_orderkey % 5))) AS p FROM orders)")
+def flat_map_python(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey")
+    return rows.flat_map_rows(o, lambda r: [{"o_orderkey": r["o_orderkey"], "p": i} for i in range(r["o_orderkey"] % 5)], 3, "o_orderkey long, p long")
+
+
+# characteristics and planned runs
+
+
+@query("""
+WITH c AS (SELECT DISTINCT l_orderkey, p_brand AS code FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT l_orderkey, count(*) AS n FROM c GROUP BY l_orderkey),
+a AS (SELECT l_orderkey, substr(code, 1, 7) AS g, count(*) AS k FROM c GROUP BY ALL)
+SELECT l_orderkey, g AS grp FROM a UNION ALL SELECT l_orderkey, g || ' alone' FROM a JOIN n USING (l_orderkey) WHERE k = n
+UNION ALL SELECT l_orderkey, 'E' || substr(o_orderpriority, 1, 1) FROM n JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority <> '5-LOW'""")
+def characteristic_rows(spark, d):
+    part = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("code"))
+    line = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.substring("o_orderpriority", 1, 1).alias("eth"))
+    persons = line.groupBy("l_orderkey").agg(F.collect_set("code").alias("codes")).join(o, "l_orderkey")
+    brands = part.select("code", F.substring("code", 1, 7).alias("g")).distinct()
+    level = lambda df, kind, alone, name: df.select(name.alias("group"), F.lit(kind).alias("kind"), F.lit(alone).alias("alone"), F.lit(False).alias("detailed_only"), F.lit(False).alias("coarse_only"), F.lit("1").alias("level")).distinct()
+    eths = o.select("eth").distinct()
+    groups = level(brands, "race", False, F.col("g")).union(level(brands, "race", True, F.concat("g", F.lit(" alone")))).union(level(eths.filter("eth <> '5'"), "ethnicity", None, F.concat(F.lit("E"), "eth")))
+    mapping = brands.select("code", F.col("g").alias("group")).union(brands.select("code", F.concat("g", F.lit(" alone")))).union(eths.select("eth", F.concat(F.lit("E"), "eth")))
+    return characteristics.characteristics(groups, mapping, 25, level="1").of(persons, "codes", "eth").select("l_orderkey", "grp")
+
+
+PLAN = "(VALUES ('USA', '1', 1.0), ('USA', '2', 1.0), ('STATE', '1', 0.0), ('STATE', '2', 1.0), ('COUNTY', '1', 2.0), ('COUNTY', '2', 0.5))"
+KINDS_OF = "(VALUES ('1-URGENT', '1', false, false), ('2-HIGH', '1', true, false), ('3-MEDIUM', '2', false, false), ('4-NOT SPECIFIED', '2', false, true), ('5-LOW', '2', true, false))"
+PLANNED = f"""WITH p AS ({PEOPLE}),
+q AS (SELECT 'USA' AS REGION_TYPE, WORLD AS REGION_ID, grp, sex, age FROM p UNION ALL SELECT 'STATE', REGION, grp, sex, age FROM p UNION ALL SELECT 'COUNTY', NATION, grp, sex, age FROM p),
+g AS (SELECT 'USA' AS REGION_TYPE, 'ALL' AS REGION_ID UNION ALL SELECT 'STATE', r_name FROM region UNION ALL SELECT 'COUNTY', n_name FROM nation),
+m AS (SELECT g.REGION_TYPE, REGION_ID, k.grp, k.d AS totals_only FROM g JOIN {PLAN} l(rt, lv, budget) ON g.REGION_TYPE = l.rt AND budget > 0 JOIN {KINDS_OF} k(grp, lv2, d, c) ON lv2 = lv AND CASE WHEN g.REGION_TYPE = 'COUNTY' THEN NOT d ELSE NOT c END),
+n AS (SELECT m.*, count(age) AS total FROM m LEFT JOIN q ON q.REGION_TYPE = m.REGION_TYPE AND q.REGION_ID = m.REGION_ID AND q.grp = m.grp GROUP BY ALL),
+t AS (SELECT REGION_TYPE, REGION_ID, grp, total, CAST(total >= 100 AS INTEGER) + CAST(total >= 400 AS INTEGER) + CAST(total >= 2000 AS INTEGER) AS level FROM n WHERE NOT totals_only)"""
+
+
+def planned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    o, c, n, r = (table(spark, d, t) for t in ("orders", "customer", "nation", "region"))
+    joined = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
+    persons = joined.select(F.col("n_name").alias("COUNTY"), F.col("r_name").alias("STATE"), F.lit("ALL").alias("USA"), F.col("o_orderpriority").alias("grp"), F.col("o_orderstatus").alias("sex"), F.least(F.lit(115), F.floor(F.col("o_totalprice") / 4000)).cast("int").alias("age"))
+    regions = r.select(F.lit("STATE").alias("REGION_TYPE"), F.col("r_name").alias("REGION_ID")).union(n.select(F.lit("COUNTY"), "n_name")).union(spark.createDataFrame([("USA", "ALL")], "a string, b string"))
+    plan = spark.sql(f"SELECT rt AS REGION_TYPE, lv AS level, CAST(budget AS DOUBLE) AS budget, array(100, 400, 2000) AS thresholds, CAST(0 AS DOUBLE) AS chance FROM {PLAN} AS l(rt, lv, budget)")
+    groups = spark.sql(f"SELECT grp AS `group`, lv AS level, d AS detailed_only, c AS coarse_only FROM {KINDS_OF} AS k(grp, lv, d, c)")
+    domain = characteristics.population_domain(regions, groups, plan)
+    return characteristics.planned_tabulation(persons, {"USA": "USA", "STATE": "STATE", "COUNTY": "COUNTY"}, domain, SEXES, noisy=False)
+
+
+@query(f"{PLANNED} SELECT REGION_TYPE, REGION_ID, grp, total AS COUNT FROM n WHERE totals_only UNION ALL SELECT REGION_TYPE, REGION_ID, grp, total FROM t")
+def planned_totals(spark, d):
+    return planned(spark, d)[0]
+
+
+@query(f"""{PLANNED}, b(level, sex, low, high) AS (VALUES {bins_sql()}),
+x AS (SELECT q.REGION_TYPE, q.REGION_ID, q.grp, q.sex, CASE level WHEN 1 THEN {bin_sql(1)} WHEN 2 THEN {bin_sql(2)} ELSE {bin_sql(3)} END AS low, count(*) AS n FROM q JOIN t ON q.REGION_TYPE = t.REGION_TYPE AND q.REGION_ID = t.REGION_ID AND q.grp = t.grp WHERE level > 0 GROUP BY ALL),
+c AS (SELECT t.REGION_TYPE, t.REGION_ID, t.grp, b.sex, CAST(b.low AS VARCHAR) AS low, CAST(b.high AS VARCHAR) AS high, coalesce(n, 0) AS count FROM t JOIN b ON t.level = b.level LEFT JOIN x ON x.REGION_TYPE = t.REGION_TYPE AND x.REGION_ID = t.REGION_ID AND x.grp = t.grp AND x.sex = b.sex AND x.low = b.low)
+SELECT * FROM c UNION ALL SELECT REGION_TYPE, REGION_ID, grp, sex, '*', '*', CAST(sum(count) AS BIGINT) FROM c GROUP BY REGION_TYPE, REGION_ID, grp, sex""")
+def planned_tables(spark, d):
+    return planned(spark, d)[1]
+
+
+@query(f"WITH {LONG}, r AS (SELECT * FROM q WHERE sex <> 'P'), t AS (SELECT REGION_TYPE, REGION_ID, grp, count(*) AS n FROM r GROUP BY ALL) SELECT REGION_TYPE, REGION_ID, grp, CAST(n >= 100 AS INTEGER) + CAST(n >= 400 AS INTEGER) + CAST(n >= 2000 AS INTEGER) AS STAT_LEVEL FROM t")
+def published_levels(spark, d):
+    p = people(spark, d).filter("sex <> 'P'")
+    cells = tabulate.with_marginals(tabulate.adaptive_cells(p, tabulate.levels(p, GROUPS, THRESHOLDS), GROUPS, SEXES[:2]), GROUPS)
+    alone = F.count(F.lit(1)).over(Window.partitionBy(*GROUPS)) == 1
+    table_only = cells.withColumn("alone", alone).filter("alone OR NOT (sex = '*' AND low = '*')").drop("alone")
+    return characteristics.published_levels([table_only, table_only.limit(0)], GROUPS)
+
+
+@query(f"WITH {LONG} SELECT REGION_TYPE, REGION_ID, grp, count(*) AS count FROM q GROUP BY ALL")
+def detail_totals(spark, d):
+    return tabulate.detail_totals(people(spark, d), GROUPS)
+
+
+@query(f"WITH {CELLS} SELECT REGION_TYPE, REGION_ID, grp, low AS AGESTART, high AS AGEEND, CASE sex WHEN 'O' THEN 'open' WHEN 'F' THEN 'filled' ELSE sex END AS SEX, count AS COUNT FROM c")
+def shaped_table(spark, d):
+    p = people(spark, d)
+    cells = tabulate.exact_cells(p, tabulate.levels(p, GROUPS, THRESHOLDS), GROUPS, SEXES)
+    return tabulate.shaped(cells, GROUPS, {"O": "open", "F": "filled"})

@@ -7,6 +7,7 @@ columns of one aggregation, so one shuffle serves all of them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,10 +17,13 @@ from .bins import Bins
 from .keys import keyed, keys_from_values
 from .special import drop_null_and_nan
 
-Noise = Callable[[Column, float, str], Column]
+#: Keys up to which they are broadcast to find their groups' rows.
+MOST_BROADCAST = 100_000
+#: (value, reach of one row, INTEGER or DECIMAL, parts that share the budget) -> value with noise
+Noise = Callable[..., Column]
 
 
-def _exact(value: Column, sensitivity: float, kind: str) -> Column:
+def _exact(value: Column, reach: float, kind: str, parts: int = 1) -> Column:
     return value
 
 
@@ -37,8 +41,8 @@ def count_distinct(df: DataFrame, columns: Sequence[str] | None = None, keys: Da
 
 
 def _clamped(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    if low >= high:
-        raise ValueError("low must be below high")
+    if low > high:
+        raise ValueError("low must not be above high")
     return drop_null_and_nan(df, [column]).withColumn(column, F.least(F.greatest(F.col(column), F.lit(low)), F.lit(high)).cast(dict(df.dtypes)[column]))
 
 
@@ -52,7 +56,8 @@ def bounded_sum(df: DataFrame, column: str, low: float, high: float, keys: DataF
     value = F.col(column) if scale_digits is None else F.round(F.col(column) * 10**scale_digits).cast("long")
     out = keyed(_clamped(df, column, low, high), keys, {name: 0}, F.sum(value).alias(name))
     total = F.coalesce(F.col(name), F.lit(0)) if scale_digits is None else F.coalesce(F.col(name), F.lit(0)) / F.lit(float(10**scale_digits))
-    return out.withColumn(name, noise(total, max(abs(low), abs(high)), kind))
+    reach = max(abs(low), abs(high))
+    return out.withColumn(name, noise(total, reach, kind) if reach else total)
 
 
 def _midpoint(low: float, high: float, whole: bool) -> float:
@@ -63,7 +68,9 @@ def _midpoint(low: float, high: float, whole: bool) -> float:
 def moments(df: DataFrame, column: str, low: float, high: float, keys: DataFrame | None, noise: Noise, parts: int) -> tuple[DataFrame, float, float]:
     """n, dev (sum of deviations from the middle) and sqdev (of squares from the middle of squares), and both middles.
 
-    Each of the `parts` parts in use gets an equal share of the budget.
+    Each of the `parts` parts in use gets an equal share of the budget. A whole
+    middle may lie off the true one, so the reach of a row is the longer way
+    to a bound. With equal bounds deviations are zero for all rows and need no noise.
     """
     whole = _kind(df, column) == "INTEGER"
     mid = _midpoint(low, high, whole)
@@ -72,8 +79,15 @@ def moments(df: DataFrame, column: str, low: float, high: float, keys: DataFrame
     x = F.col(column)
     out = keyed(_clamped(df, column, low, high), keys, {"n": 0, "dev": 0, "sqdev": 0}, F.count(F.lit(1)).alias("n"), F.sum(x - F.lit(mid)).alias("dev"), F.sum(x * x - F.lit(mid2)).alias("sqdev"))
     kind = "INTEGER" if whole else "DECIMAL"
-    share = lambda value, reach, k: noise(value, reach * parts, k)
-    return out.withColumns({"n": share(F.col("n"), 1, "INTEGER"), "dev": share(F.coalesce("dev", F.lit(0)), high - mid, kind), "sqdev": share(F.coalesce("sqdev", F.lit(0)), squares[1] - mid2, kind)}), mid, mid2
+
+    def share(name: str, reach: float, of: str) -> Column:
+        value = F.coalesce(name, F.lit(0))
+        return noise(value, reach, of, parts) if reach else value
+
+    noisy = {"n": share("n", 1, "INTEGER"), "dev": share("dev", max(high - mid, mid - low), kind)}
+    if parts > 2:
+        noisy["sqdev"] = share("sqdev", max(squares[1] - mid2, mid2 - squares[0]), kind)
+    return out.withColumns(noisy), mid, mid2
 
 
 def average(df: DataFrame, column: str, low: float, high: float, keys: DataFrame | None = None, name: str | None = None, noise: Noise = _exact) -> DataFrame:
@@ -103,8 +117,14 @@ def histogram(df: DataFrame, column: str, bins: Bins, name: str | None = None, n
     return count(binned, keys_from_values(df.sparkSession, {name: bins.all_bins()}), "count", noise)
 
 
+def selection_threshold(epsilon: float, delta: float) -> int:
+    """The count from which a row may be published: one that a single unit holds reaches it with probability delta at most."""
+    q = math.exp(-epsilon)
+    return 1 + max(1, math.ceil(math.log(delta * (1 + q)) / math.log(q)))
+
+
 def common_rows(df: DataFrame, threshold: int, name: str = "count", noise: Noise = _exact) -> DataFrame:
-    """Distinct rows whose (noisy) count reaches a threshold."""
+    """Distinct rows whose (noisy) count reaches a threshold, as `selection_threshold` gives it."""
     out = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
     return out.withColumn(name, noise(F.col(name), 1, "INTEGER")).filter(F.col(name) >= threshold)
 
@@ -115,7 +135,7 @@ def apply_to_groups(df: DataFrame, keys: DataFrame, function: Callable, schema:
     A group is one task's memory: for aggregates that no expression can say.
     """
     on = keys.columns
-    listed = df.join(F.broadcast(keys), on, "left_semi") if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1" else df.join(keys, on, "left_semi")
+    listed = df.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, on, "left_semi")
     values = listed.groupBy(*on).applyInPandas(function, schema)
     firsts = [F.first(c).alias(c) for c in values.columns if c not in on]
     return keyed(values, keys, fill, *firsts)

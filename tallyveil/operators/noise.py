@@ -1,4 +1,8 @@
-"""Noise as a column: exact integer samplers on the operating system's randomness, drawn once and released."""
+"""Noise as a column: exact integer samplers on the operating system's randomness, drawn once and released.
+
+The samplers follow Canonne, Kamath and Steinke, "The Discrete Gaussian for
+Differential Privacy" (2020), over whole batches at once.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ import uuid
 from collections.abc import Callable
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,84 +21,141 @@ from pyspark.sql import functions as F
 GRID = Fraction(1, 2**20)
 
 
-def _coin(p: Fraction) -> bool:
-    return secrets.randbelow(p.denominator) < p.numerator
+#: Decimal digits that scales keep; they are rounded up.
+SCALE_STEPS = 10**6
+#: Beyond it products of bounds no longer fit 64 bits, and rows are drawn one by one.
+LARGE = 2**40
+
+
+def _rounded_up(x: float, steps: int = SCALE_STEPS) -> Fraction:
+    if x <= 0:
+        raise ValueError("noise needs a scale above zero")
+    return Fraction(math.ceil(Fraction(x) * steps), steps)
+
+
+def below(n: np.ndarray) -> np.ndarray:
+    """A whole number from 0 to n - 1 for each n, all equally likely: 64 random bits, drawn again beyond the last whole multiple of n."""
+    n = n.astype(np.uint64)
+    out, todo = np.empty(len(n), np.uint64), np.arange(len(n))
+    last = np.uint64(2**64 - 1) - np.uint64(2**64 - 1) % n  # a multiple of n
+    while len(todo):
+        bits = np.frombuffer(secrets.token_bytes(8 * len(todo)), np.uint64)
+        out[todo] = bits % n[todo]
+        todo = todo[bits >= last[todo]]
+    return out.astype(np.int64)
+
 
+def coins(top: np.ndarray, bottom: int) -> np.ndarray:
+    """True with probability exp(-top / bottom) each, for top from 0 to bottom: whether the first failure of draws with chances x, x / 2, x / 3 ... has an odd number."""
+    k, todo = np.ones(len(top), np.int64), np.arange(len(top))
+    while len(todo):
+        todo = todo[below(bottom * k[todo]) < top[todo]]
+        k[todo] += 1
+    return k % 2 == 1
+
+
+def two_sided_geometric(scale: Fraction, size: int) -> np.ndarray:
+    """size draws of k with probability proportional to exp(-|k| / scale)."""
+    s, t = scale.denominator, scale.numerator
+    if t >= LARGE:  # a scale that large may be whole
+        s, t = 1, math.ceil(scale)
+        if t >= LARGE:
+            raise ValueError("the scale is too large")
+    out, todo = np.zeros(size, np.int64), np.arange(size)
+    while len(todo):
+        u = below(np.full(len(todo), t))
+        good = coins(u, t)
+        todo, u, rest = todo[good], u[good], todo[~good]
+        v, on = np.zeros(len(todo), np.int64), np.arange(len(todo))
+        while len(on):
+            on = on[coins(np.ones(len(on), np.int64), 1)]
+            v[on] += 1
+        k, negative = (u + t * v) // s, below(np.full(len(todo), 2)) == 1
+        again = negative & (k == 0)
+        out[todo] = np.where(negative, -k, k)
+        todo = np.concatenate([rest, todo[again]])
+    return out
 
-def _coin_exp(gamma: Fraction) -> bool:
-    """True with probability exp(-gamma)."""
-    while gamma > 1:
-        if not _coin_exp(Fraction(1)):
+
+def _coin(p: Fraction) -> bool:
+    """True with probability exp(-p)."""
+    while p > 1:
+        if not coins(np.ones(1, np.int64), 1)[0]:
             return False
-        gamma -= 1
+        p -= 1
     k = 1
-    while _coin(gamma / k):
+    while secrets.randbelow(p.denominator * k) < p.numerator:
         k += 1
     return k % 2 == 1
 
 
-def two_sided_geometric(scale: Fraction) -> int:
-    """k with probability proportional to exp(-|k| / scale)."""
-    if scale == 0:
-        return 0
-    s, t = scale.denominator, scale.numerator
-    while True:
-        u = secrets.randbelow(t)
-        if not _coin_exp(Fraction(u, t)):
-            continue
-        v = 0
-        while _coin_exp(Fraction(1)):
-            v += 1
-        size, negative = (u + t * v) // s, secrets.randbelow(2)
-        if size or not negative:
-            return -size if negative else size
-
-
-def discrete_gaussian(variance: Fraction) -> int:
-    """k with probability proportional to exp(-k k / (2 variance))."""
-    if variance == 0:
-        return 0
+def discrete_gaussian(variance: Fraction, size: int) -> np.ndarray:
+    """size draws of k with probability proportional to exp(-k k / (2 variance))."""
     t = math.isqrt(math.floor(variance)) + 1
-    while True:
-        k = two_sided_geometric(Fraction(t))
-        if _coin_exp((abs(k) - variance / t) ** 2 / (2 * variance)):
-            return k
+    out, todo = np.zeros(size, np.int64), np.arange(size)
+    while len(todo):
+        out[todo] = two_sided_geometric(Fraction(t), len(todo))
+        todo = todo[[not _coin((abs(int(k)) - variance / t) ** 2 / (2 * variance)) for k in out[todo]]]
+    return out
 
 
-def _drawn(value: Column, draw: Callable[[], int], grid: Fraction | None) -> Column:
-    """value plus a draw for every row; doubles in steps of grid."""
+def _drawn(value: Column, draw: Callable[[int], np.ndarray], grid: Fraction | None) -> Column:
+    """value plus a draw for every row; doubles in steps of grid. Null values get none."""
 
     if grid is None:
 
         @F.pandas_udf("long")
         def add(values: pd.Series) -> pd.Series:
-            return values + pd.Series([draw() for _ in range(len(values))], dtype="int64", index=values.index)
+            return values + draw(len(values))
     else:
         step = float(grid)
 
         @F.pandas_udf("double")
         def add(values: pd.Series) -> pd.Series:
-            return (values / step).round() * step + pd.Series([draw() * step for _ in range(len(values))], dtype="float64", index=values.index)
+            return (values / step).round() * step + draw(len(values)) * step
 
     return add.asNondeterministic()(value)
 
 
+def uniform(row: Column) -> Column:
+    """A number from 0 to 1, both left out, from the operating system's randomness; row: any column, for the number of rows."""
+
+    @F.pandas_udf("double")
+    def draw(rows: pd.Series) -> pd.Series:
+        return pd.Series((below(np.full(len(rows), 2**53 - 1)) + 1) / 2**53, index=rows.index)
+
+    return draw.asNondeterministic()(row)
+
+
 def geometric_noise(value: Column, scale: float) -> Column:
-    exact = Fraction(scale).limit_denominator(10**6)
-    return value if exact == 0 else _drawn(value.cast("long"), lambda: two_sided_geometric(exact), None)
+    exact = _rounded_up(scale)
+    return _drawn(value.cast("long"), lambda n: two_sided_geometric(exact, n), None)
+
+
+def geometric_noise_by(value: Column, scale: Column) -> Column:
+    """Geometric noise of each row's own scale, which must be above zero."""
+
+    @F.pandas_udf("long")
+    def add(values: pd.Series, scales: pd.Series) -> pd.Series:
+        out = values.astype("int64").copy()
+        for s in scales.unique():
+            own = scales == s
+            out[own] += two_sided_geometric(_rounded_up(s), int(own.sum()))
+        return out
+
+    return add.asNondeterministic()(value.cast("long"), scale.cast("double"))
 
 
 def laplace_noise(value: Column, scale: float) -> Column:
     """Laplace noise on a grid: the scale is widened by a grid step for the rounding."""
-    if scale == 0:
-        return value
-    steps = (Fraction(scale).limit_denominator(10**9) + GRID) / GRID
-    return _drawn(value.cast("double"), lambda: two_sided_geometric(steps), GRID)
+    steps = (_rounded_up(scale, 10**9) + GRID) / GRID
+    steps = Fraction(math.ceil(steps * 1000), 1000)
+    return _drawn(value.cast("double"), lambda n: two_sided_geometric(steps, n), GRID)
 
 
 def gaussian_noise(value: Column, variance: float) -> Column:
-    exact = Fraction(variance).limit_denominator(10**6)
-    return value if exact == 0 else _drawn(value.cast("long"), lambda: discrete_gaussian(exact), None)
+    exact = _rounded_up(variance)
+    return _drawn(value.cast("long"), lambda n: discrete_gaussian(exact, n), None)
 
 
 def noise_scale(budget: float, sensitivity: float, mechanism: str = "pure") -> float:
@@ -106,7 +168,7 @@ def noise_scale(budget: float, sensitivity: float, mechanism: str = "pure") -> f
 
 
 def mechanism(budget: float, unit: float = 1, kind: str = "pure", prefer: str = "default") -> Callable[[Column, float, str], Column]:
-    """The noise of an aggregate: function of (column, reach of one row, INTEGER or DECIMAL).
+    """The noise of an aggregate: function of (column, reach of one row, INTEGER or DECIMAL, parts that share the budget).
 
     unit: rows that one unit of change reaches. Laplace noise is geometric on
     integers; under rho budgets (kind "zcdp") the default is Gaussian, which
@@ -116,8 +178,10 @@ def mechanism(budget: float, unit: float = 1, kind: str = "pure", prefer: str =
     if prefer == "gaussian" and kind == "pure":
         raise ValueError("Gaussian noise needs a rho budget")
 
-    def add(value: Column, reach: float, column_kind: str) -> Column:
-        scale = noise_scale(budget, reach * unit, kind)
+    def add(value: Column, reach: float, column_kind: str, parts: int = 1) -> Column:
+        if reach <= 0 or unit <= 0:
+            raise ValueError("noise needs a reach above zero")
+        scale = noise_scale(budget / parts, reach * unit, kind)
         if scale == 0:
             return value
         if prefer == "gaussian":
@@ -129,6 +193,19 @@ def mechanism(budget: float, unit: float = 1, kind: str = "pure", prefer: str =
     return add
 
 
+def once(noise: Callable) -> Callable:
+    """noise that may be used for one aggregate: its parts together take one budget, more are refused."""
+    used = []
+
+    def add(value: Column, reach: float, column_kind: str, parts: int = 1) -> Column:
+        used.append(Fraction(1, parts))
+        if sum(used) > 1:
+            raise ValueError("one charge pays for one aggregate")
+        return noise(value, reach, column_kind, parts)
+
+    return add
+
+
 def inverse_cdf(kind: str, scale: Column | float, p: Column | float) -> Column:
     """The value up to which a mechanism's noise falls with probability p: geometric or laplace."""
     scale = F.lit(scale) if not isinstance(scale, Column) else scale

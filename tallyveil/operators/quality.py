@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -190,19 +191,22 @@ def outside_states(df: DataFrame, states: Sequence[str], region: str = "REGION_I
 
 
 def merged_ranges(ranges: DataFrame, group: Sequence[str], low: str = "low", high: str = "high") -> DataFrame:
-    """Overlapping or adjacent whole-number ranges of a field become one."""
+    """Overlapping or adjacent whole-number ranges of a field become one; equal ranges merge before they meet in a task."""
+    ranges = ranges.select(*group, low, high).distinct()
     w = Window.partitionBy(*group).orderBy(low, high)
     top = F.max(high).over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = ranges.withColumn("__new", F.when(F.col(low) > top + 1, 1).otherwise(0))
     return fresh.withColumn("__at", F.sum("__new").over(w)).groupBy(*group, "__at").agg(F.min(low).alias(low), F.max(high).alias(high)).drop("__at")
 
 
-def output_problems(df: DataFrame, rules: Sequence[Rule], states: Sequence[str], count_column: str = "COUNT", negatives: bool = False) -> DataFrame:
-    """One row for each kind of problem with an output table: problem, rows."""
-    checks = {f"rule {r.column}": df.filter(~r.holds()) for r in rules} | {"state": outside_states(df, states)}
+def output_problems(df: DataFrame, rules: Sequence[Rule], states: Sequence[str], count_column: str = "COUNT", negatives: bool = False, region: str = "REGION_ID", kind: str = "REGION_TYPE", exempt: Sequence[str] = ("USA", "AIANNH")) -> DataFrame:
+    """One row for each kind of problem with an output table: problem, rows; one scan for all."""
+    outside = ~F.col(kind).isin(list(exempt)) & ~F.substring(F.col(region), 1, 2).isin(list(states))
+    checks = {f"rule {r.column}": ~r.holds() for r in rules} | {"state": outside}
     if not negatives:
-        checks["negative"] = df.filter(F.col(count_column) < 0)
-    return reduce(DataFrame.union, [d.agg(F.lit(n).alias("problem"), F.count(F.lit(1)).alias("rows")) for n, d in checks.items()])
+        checks["negative"] = F.col(count_column) < 0
+    counts = df.agg(*[F.count_if(c).alias(f"p{i}") for i, c in enumerate(checks.values())])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("problem"), F.col(f"p{i}").alias("rows")) for i, n in enumerate(checks)])).alias("p")).select("p.*")
 
 
 def invalid_tables(tables: dict[str, DataFrame], rules: dict[str, Sequence[Rule]], may_be_empty: Sequence[str] = ()) -> dict[str, list[str]]:
@@ -221,3 +225,47 @@ def invalid_tables(tables: dict[str, DataFrame], rules: dict[str, Sequence[Rule]
         if found:
             out[name] = found
     return out
+
+
+def invalid_files(spark: SparkSession, folder: str, rules: dict[str, Sequence[Rule]], schemas: dict[str, str], *, sep: str = ",", header: bool = True, may_be_empty: Sequence[str] = ()) -> dict[str, list[str]]:
+    """Problems of delimited files, folder/name for each name of rules, as `invalid_tables` gives them; a file that can't be read is missing."""
+    tables = {}
+    for name in rules:
+        try:
+            tables[name] = spark.read.csv(f"{folder.rstrip('/')}/{name}", schema=schemas[name], sep=sep, header=header, enforceSchema=False)
+        except AnalysisException as gone:
+            if gone.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return invalid_tables(tables, rules, may_be_empty)
+
+
+@dataclass(frozen=True)
+class Check:
+    """A named check of a table set: gives the rows that break it."""
+
+    name: str
+    broken: Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def phased_problems(tables: dict[str, DataFrame], prior: dict[str, Sequence[Rule]], rebuilt: Callable[[dict[str, DataFrame]], dict[str, Sequence[Rule]]], checks: Sequence[Check]) -> DataFrame:
+    """phase, problem, rows: what is wrong with a set of tables, checked in three phases.
+
+    1. Rules that are known beforehand. 2. Rules made anew from the code tables
+    that passed. 3. Checks between tables. Only the first phase that finds
+    anything reports, as later ones rely on those before; each phase is one job.
+    """
+
+    def of_rules(phase: int, rules: dict[str, Sequence[Rule]]) -> DataFrame:
+        reports = [rule_report(tables[t], own, 0).select(F.lit(phase).alias("phase"), F.concat(F.lit(f"{t}."), "column").alias("problem"), F.col("invalid").alias("rows")) for t, own in rules.items()]
+        return reduce(DataFrame.unionByName, reports).filter("rows > 0")
+
+    missing = sorted(set(prior) - set(tables))
+    if missing:
+        raise ValueError(f"tables are missing: {', '.join(missing)}")
+    first = of_rules(1, prior)
+    if not first.isEmpty():
+        return first
+    second = of_rules(2, rebuilt(tables))
+    if not second.isEmpty():
+        return second
+    return reduce(DataFrame.unionByName, [c.broken(tables).agg(F.lit(3).alias("phase"), F.lit(c.name).alias("problem"), F.count(F.lit(1)).alias("rows")) for c in checks]).filter("rows > 0")

@@ -8,13 +8,30 @@ and the winning gap is one maximum for each key.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Ranges of values in a group, between low and high.
+from .noise import uniform
+
+#: Ranges of a group's values, cut so that each holds about as many different ones.
 RANGES = 64
+#: Groups up to which their cuts are broadcast (about half a kilobyte each).
+MOST_BROADCAST = 50_000
+
+
+def _ranged(counted: DataFrame, on: list[str]) -> DataFrame:
+    """counted with span, the range that v lies in; cut by the values of each key, so that values which cluster spread over ranges too."""
+    cuts = counted.groupBy(*on).agg(F.percentile_approx("v", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(10_000)).alias("cuts"))
+    if not on:
+        both = counted.crossJoin(F.broadcast(cuts))
+    else:
+        c, k = counted.alias("c"), (F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST else cuts).alias("k")
+        same = reduce(Column.__and__, [F.col(f"c.`{n}`").eqNullSafe(F.col(f"k.`{n}`")) for n in on])
+        both = c.join(k, same).select(*[F.col(f"c.`{n}`") for n in counted.columns], "cuts")
+    return both.withColumn("span", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
 
 
 def gaps(df: DataFrame, column: str, low: float, high: float, keys: DataFrame | None = None) -> DataFrame:
@@ -27,8 +44,7 @@ def gaps(df: DataFrame, column: str, low: float, high: float, keys: DataFrame |
     value = F.col(column).cast("double")
     clean = df.filter(value.isNotNull() & ~F.isnan(value)).select(*on, F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))).alias("v"))
     counted = clean.groupBy(*on, "v").agg(F.count(F.lit(1)).alias("m"))
-    span = F.least(F.floor((F.col("v") - F.lit(float(low))) / F.lit(float(high - low or 1)) * RANGES), F.lit(RANGES)).cast("int")
-    counted = counted.withColumn("span", span)
+    counted = _ranged(counted, on)
     spans = counted.groupBy(*on, "span").agg(F.sum("m").alias("held"), F.max("v").alias("top"))
     per_key = Window.partitionBy(*on)
     earlier = per_key.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,7 +86,7 @@ def quantile_gap(df: DataFrame, column: str, quantile: float, low: float, high:
     if math.isinf(epsilon):
         score: Column = F.struct((-off).alias("a"), F.col("left").alias("b"), F.col("right").alias("c"))
     else:
-        gumbel = -F.log(-F.log(F.greatest(F.rand(), F.lit(1e-300))))
+        gumbel = -F.log(-F.log(uniform(F.col("rank"))))
         score = F.log(F.col("right") - F.col("left")) - F.lit(epsilon) * off / (2 * max(quantile, 1 - quantile)) + gumbel
     scored = found.withColumn("score", score)
     return scored.groupBy(*on).agg(F.max_by(F.struct("left", "right"), "score").alias("gap")).select(*on, F.col("gap.left").alias("left"), F.col("gap.right").alias("right"))
@@ -80,4 +96,4 @@ def quantile(df: DataFrame, column: str, quantile: float, low: float, high: floa
     """A uniform draw from the winning gap; equal bounds give the bound."""
     on = keys.columns if keys is not None else []
     name = name or f"{column}_quantile({quantile})"
-    return quantile_gap(df, column, quantile, low, high, keys, epsilon).select(*on, (F.col("left") + F.rand() * (F.col("right") - F.col("left"))).alias(name))
+    return quantile_gap(df, column, quantile, low, high, keys, epsilon).select(*on, (F.col("left") + uniform(F.col("left")) * (F.col("right") - F.col("left"))).alias(name))

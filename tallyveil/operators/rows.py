@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -47,6 +48,17 @@ def flat_map(df: DataFrame, rows: Column, most: int, name: str, augment: bool =
     return df.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.slice(rows, 1, most)).alias(name))
 
 
+def flat_map_rows(df: DataFrame, function: Callable[[dict], list[dict]], most: int, schema: str) -> DataFrame:
+    """Up to `most` rows for each row from a Python function, for what no expression can say; one Arrow batch at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([new for r in batch.to_dict("records") for new in function(r)[:most]], columns=names)
+
+    names = T.StructType.fromDDL(schema).names
+    return df.mapInPandas(run, schema)
+
+
 def grouping_flat_map(df: DataFrame, groups: Column, most: int, name: str) -> DataFrame:
     """Up to `most` different groups for each row; a later aggregate must group by them."""
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.explode(F.array_distinct(F.slice(groups, 1, most))).alias(name))

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..spec import KINDS, ColumnSpec
+
 DEFAULTS = {"bigint": 0, "int": 0, "double": 0.0, "float": 0.0, "string": "", "date": dt.date(1970, 1, 1), "timestamp": dt.datetime(1970, 1, 1, tzinfo=dt.UTC)}
 FLOATS = ("double", "float")
 
@@ -69,3 +71,26 @@ def special_counts(df: DataFrame) -> DataFrame:
         if k in FLOATS:
             out += [F.count_if(F.coalesce(F.isnan(c), F.lit(False))).alias(f"{c}_nan"), F.count_if(is_inf(F.col(c))).alias(f"{c}_inf")]
     return df.agg(*out)
+
+
+def spec_problems(df: DataFrame, columns: dict[str, ColumnSpec]) -> DataFrame:
+    """column, problem, rows: columns that are absent, unexpected or of another kind, and nulls, NaNs or infinities where the spec forbids them; one scan."""
+    kinds = {f.name: KINDS.get(type(f.dataType)) for f in df.schema}
+    found = [(c, "absent", 0) for c in columns if c not in kinds] + [(c, "unexpected", 0) for c in kinds if c not in columns]
+    found += [(c, f"is {kinds[c]}, not {s.kind}", 0) for c, s in columns.items() if c in kinds and kinds[c] != s.kind]
+    tests = {}
+    for c, s in columns.items():
+        if kinds.get(c) != s.kind:
+            continue
+        if not s.nulls:
+            tests[c, "null"] = F.col(c).isNull()
+        if s.kind == "DECIMAL" and not s.nans:
+            tests[c, "NaN"] = F.isnan(c)
+        if s.kind == "DECIMAL" and not s.infs:
+            tests[c, "infinity"] = is_inf(F.col(c))
+    shape = df.sparkSession.createDataFrame(found, "column string, problem string, rows long")
+    if not tests:
+        return shape
+    counts = df.agg(*[F.count_if(F.coalesce(t, F.lit(False))).alias(f"t{i}") for i, t in enumerate(tests.values())])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("problem"), F.col(f"t{i}").alias("rows")) for i, (c, p) in enumerate(tests)])
+    return shape.unionByName(counts.select(F.explode(each).alias("p")).select("p.*").filter("rows > 0"))

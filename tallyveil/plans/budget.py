@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.noise import mechanism, released
+from ..operators.noise import mechanism, once, released
 from ..operators.rows import parts_by_key
 from ..spec import TableSpec, coerced, spec_of
 from .builder import Measured
@@ -55,17 +55,19 @@ class Session:
         return amount
 
     def evaluate(self, source: str, query: Callable, amount: float, prefer: str = "default") -> DataFrame:
-        """Runs query(df, noise), a keyed aggregate, on a private table and releases its result."""
+        """Runs query(df, noise), one keyed aggregate, on a private table and releases its result."""
         df, spec = self.private[source]
+        if spec.id_column:
+            raise ValueError(f"rows of one {spec.id_column} have no limit; run a query that sets one")
         amount = self.charge(source, amount)
-        out = query(df, mechanism(amount, spec.sensitivity, self.kind, prefer))
+        out = query(df, once(mechanism(amount, spec.sensitivity, self.kind, prefer)))
         if spec.grouping_column and spec.grouping_column not in out.columns:
             raise ValueError(f"the result must be grouped by {spec.grouping_column}")
         return released(out, f"{self.folder}/{uuid.uuid4().hex}")
 
     def run(self, measured: Measured, amount: float, prefer: str = "default") -> DataFrame:
         """Runs a built query; a charge is made only when the query is sound."""
-        state = measured.query.state(self)
+        state = measured.query.bounded(self)
         keys = measured.keys
         if state.grouping and (keys is None or state.grouping not in keys.columns):
             raise ValueError(f"the keys must have {state.grouping}")
@@ -87,12 +89,13 @@ class Session:
         self.private.pop(name)[0].unpersist()
 
     def split(self, source: str, column: str, parts: dict[str, object], amount: float) -> dict[str, Session]:
-        """A session with `amount` for each disjoint part of a table; this one is charged once."""
+        """A session with `amount` and all public tables for each disjoint part of a table; this one is charged once."""
         df, spec = self.private[source]
         amount = self.charge(f"split of {source}", amount)
         out = {}
         for (name, _), part in zip(parts.items(), parts_by_key(df, [column], [(v,) for v in parts.values()]), strict=True):
             out[name] = Session(amount, self.folder, self.kind)
+            out[name].public = dict(self.public)
             out[name].private[name] = (part, spec)
         return out
 

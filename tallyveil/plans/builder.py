@@ -8,7 +8,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 
-from ..operators import aggregates, joins, quantile, rows, special
+from ..operators import aggregates, joins, quantile, rows, special, truncate
 from ..operators.bins import Bins
 
 if TYPE_CHECKING:
@@ -17,15 +17,23 @@ if TYPE_CHECKING:
 
 @dataclass(frozen=True)
 class State:
-    """A table on its way: rows, how many of them a unit of change reaches, and a column that keys must have."""
+    """A table on its way: rows, how many of them a unit of change reaches, a column that keys must have, and an id.
+
+    With an id column a unit of change is all rows of an id, however many, so
+    steps that multiply rows change nothing; `limit_rows_per_id` gives the
+    number of rows that an aggregate needs.
+    """
 
     df: DataFrame
     reach: float
     grouping: str | None
     session: Session
+    ident: str | None = None
 
     def to(self, df: DataFrame, by: float = 1, grouping: str | None = None) -> State:
-        return replace(self, df=df, reach=self.reach * by, grouping=grouping or self.grouping)
+        if self.ident and self.ident not in df.columns:
+            raise ValueError(f"the id column {self.ident} must stay")
+        return replace(self, df=df, reach=self.reach * (1 if self.ident else by), grouping=grouping or self.grouping)
 
     def public(self, table: str | DataFrame) -> DataFrame:
         return self.session.public[table] if isinstance(table, str) else table
@@ -48,7 +56,31 @@ class Query:
         return self._rows(lambda df: rows.select(df, columns))
 
     def rename(self, names: dict[str, str]) -> Query:
-        return self._rows(lambda df: rows.rename(df, names))
+        def step(s: State) -> State:
+            return replace(s, ident=names.get(s.ident, s.ident), grouping=names.get(s.grouping, s.grouping)).to(rows.rename(s.df, names))
+
+        return self.then(step)
+
+    def limit_rows_per_id(self, most: int) -> Query:
+        """Of every id at most so many rows stay; a unit of change then reaches that many."""
+
+        def step(s: State) -> State:
+            if not s.ident:
+                raise ValueError("the table has no id column")
+            return replace(s, df=truncate.truncate_groups(s.df, [s.ident], most), reach=most * s.reach, ident=None)
+
+        return self.then(step)
+
+    def limit_groups_per_id(self, groups: Sequence[str], most: int, rows_each: int) -> Query:
+        """Of every id at most so many groups stay, with so many rows in each."""
+
+        def step(s: State) -> State:
+            if not s.ident:
+                raise ValueError("the table has no id column")
+            few = truncate.limit_keys(s.df, [s.ident], list(groups), most)
+            return replace(s, df=truncate.truncate_groups(few, [s.ident, *groups], rows_each), reach=most * rows_each * s.reach, ident=None)
+
+        return self.then(step)
 
     def filter(self, predicate: str) -> Query:
         return self._rows(lambda df: rows.where(df, predicate))
@@ -62,6 +94,9 @@ class Query:
     def flat_map(self, values: Column, most: int, name: str, augment: bool = True) -> Query:
         return self._rows(lambda df: rows.flat_map(df, values, most, name, augment), most)
 
+    def flat_map_rows(self, function: Callable[[dict], list[dict]], most: int, schema: str) -> Query:
+        return self._rows(lambda df: rows.flat_map_rows(df, function, most, schema), most)
+
     def grouping_flat_map(self, values: Column, most: int, name: str) -> Query:
         return self.then(lambda s: s.to(rows.grouping_flat_map(s.df, values, most, name), most, name))
 
@@ -98,6 +133,10 @@ class Query:
             if s.grouping:
                 raise ValueError("a table that must be grouped can't be joined with a private one")
             right = other.state(s.session)
+            if s.ident or right.ident:
+                if s.ident != right.ident or s.ident not in on:
+                    raise ValueError("tables with an id are joined on it")
+                return s.to(joins.join(s.df, right.df, on, nulls))
             out = joins.join_private(s.df, right.df, on, most_left, most_right, drop=drop, nulls=nulls)
             return replace(s, df=out, reach=joins.join_private_sensitivity(s.reach, right.reach, most_left, most_right, drop))
 
@@ -105,11 +144,18 @@ class Query:
 
     def state(self, session: Session) -> State:
         df, spec = session.private[self.source]
-        out = State(df, spec.sensitivity, spec.grouping_column, session)
+        out = State(df, spec.sensitivity, spec.grouping_column, session, spec.id_column)
         for step in self.steps:
             out = step(out)
         return out
 
+    def bounded(self, session: Session) -> State:
+        """The table for an aggregate, which needs to know how many rows a unit of change reaches."""
+        out = self.state(session)
+        if out.ident:
+            raise ValueError(f"limit the rows of each {out.ident} first")
+        return out
+
     def groupby(self, keys: DataFrame) -> Grouped:
         return Grouped(self, keys)
 

@@ -46,9 +46,18 @@ def regions_long(df: DataFrame, regions: dict[str, str], name: str = "REGION_ID"
     return df.select(*rest, each.alias("__r")).select(*rest, "__r.*")
 
 
+def _domain(persons: DataFrame, groups: Sequence[str], domain: DataFrame | None, noise: Callable) -> DataFrame:
+    """The groups to count. Those that the rows have may only be read where counts are exact: with noise they would tell who exists."""
+    if domain is not None:
+        return domain
+    if noise is not _exact:
+        raise ValueError("noisy counts need a domain of groups that doesn't come from the rows")
+    return persons.select(*groups).distinct()
+
+
 def levels(persons: DataFrame, groups: Sequence[str], thresholds: Sequence[float], domain: DataFrame | None = None, noise: Callable = _exact) -> DataFrame:
     """First stage: each group's (noisy) total and the level that it earns."""
-    totals = count(persons, domain if domain is not None else persons.select(*groups).distinct(), "total", noise)
+    totals = count(persons, _domain(persons, groups, domain, noise), "total", noise)
     return totals.withColumn("level", digitize(F.col("total"), thresholds))
 
 
@@ -109,7 +118,7 @@ def detail_totals(persons: DataFrame, groups: Sequence[str], domain: DataFrame |
 
     chance: with which a group of nobody is suppressed; 0 keeps all.
     """
-    out = count(persons, domain if domain is not None else persons.select(*groups).distinct(), "count", noise)
+    out = count(persons, _domain(persons, groups, domain, noise), "count", noise)
     if chance > 0:
         out = suppressed(out, "count", suppression_threshold(scale, chance))
     return out if negatives else not_negative(out, "count")

@@ -89,13 +89,15 @@ def persons(person: DataFrame, unit: DataFrame, geography: DataFrame, *, unit_ke
     return out.toDF(*[c.upper() for c in out.columns])
 
 
-def units(person: DataFrame, unit: DataFrame, geography: DataFrame, *, unit_key: str = "mafid", block_key: str = "block_id", relation: str = "relship", householder: Sequence[str] = ("20",), household_type: str = "hht", recodes: dict[int, int] | None = None) -> DataFrame:
-    """Units with their householder and block, without those of household type 0, and types recoded."""
+def units(person: DataFrame, unit: DataFrame, geography: DataFrame, *, unit_key: str = "mafid", block_key: str = "block_id", relation: str = "relship", householder: Sequence[str] = ("20",), household_type: str = "hht", recodes: dict[int, int] | None = None, codes: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+    """Units with their householder and block, without those of household type 0: types recoded, blank codes as "Null", upper-case names, and of columns those that are asked for."""
     out = unit.filter(F.col(household_type) != 0).join(person.filter(F.col(relation).isin(list(householder))), unit_key).join(geography, block_key)
     kind = F.col(household_type)
     for old, new in (recodes or {6: 4, 7: 5}).items():
         kind = F.when(F.col(household_type) == old, new).otherwise(kind)
-    return out.withColumn(household_type, kind)
+    out = out.withColumns({household_type: kind, **{c: F.regexp_replace(F.col(c), r"^\s*$", "Null") for c in codes}})
+    out = out.toDF(*[c.upper() for c in out.columns])
+    return out.select(*columns) if columns else out
 
 
 def geography_of_units(geography: DataFrame, unit: DataFrame, block_key: str = "block_id") -> DataFrame:
@@ -111,23 +113,30 @@ def related_persons(unit: DataFrame, person: DataFrame, *, unit_key: str = "mafi
     return out.withColumn("related", F.when(F.col(size) >= 2, F.coalesce("related", F.lit(0))).otherwise(0).cast("long"))
 
 
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a file with their place: a number that grows along the file. Files are read in order, so ids in order of partitions do."""
+    return spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+
+
 def commented(spark: SparkSession, path: str, sep: str = ",") -> tuple[DataFrame, list[str], DataFrame]:
-    """Comment lines (#), the header's names, and the data lines of a text file."""
-    lines = spark.read.text(path)
-    comments, rest = lines.filter(F.col("value").startswith("#")), lines.filter(~F.col("value").startswith("#"))
-    first = rest.first()
+    """Comment lines (#), the header's names (of the first other line of the file), and the data lines of a text file."""
+    lines = _numbered(spark, path)
+    note = F.col("value").startswith("#")
+    comments, rest = lines.filter(note).select("value"), lines.filter(~note)
+    first = rest.orderBy("at").first()
     names = first["value"].split(sep) if first else []
-    return comments, names, rest.filter(F.col("value") != (first["value"] if first else ""))
+    return comments, names, rest.filter(F.col("value") != (first["value"] if first else "")).select("value")
 
 
 def join_commented(spark: SparkSession, paths: Sequence[str], folder: str, sep: str = ",") -> None:
-    """Concatenates commented files with one header: comments first, each file's record count among them."""
+    """Concatenates commented files with one header: comments first, each file's record count among them; lines keep their order, over as many tasks as they need."""
     parts = [commented(spark, p, sep) for p in paths]
     if len({tuple(names) for _, names, _ in parts}) != 1:
         raise ValueError("the files' headers differ")
     counts = [f"# {p}: {data.count()} records" for p, (_, _, data) in zip(paths, parts, strict=True)]
-    out = spark.createDataFrame([(0, c) for c in counts], "place int, value string")
-    for i, (comments, _, data) in enumerate(parts):
-        out = out.union(comments.select(F.lit(1 + i), "value")).union(data.select(F.lit(10_000 + i), "value"))
-    out = out.union(spark.createDataFrame([(9_999, sep.join(parts[0][1]))], "place int, value string"))
-    out.repartitionByRange("place").sortWithinPartitions("place").select("value").write.mode("overwrite").text(folder)
+    out = spark.createDataFrame([(0, 0, i, c) for i, c in enumerate(counts)] + [(2, 0, 0, sep.join(parts[0][1]))], "part int, file int, at long, value string")
+    note = F.col("value").startswith("#")
+    for i, p in enumerate(paths):
+        lines = _numbered(spark, p).filter(note | (F.col("value") != sep.join(parts[0][1])))
+        out = out.unionByName(lines.select(F.when(note, 1).otherwise(3).alias("part"), F.lit(i).alias("file"), "at", "value"))
+    out.repartitionByRange("part", "file", "at").sortWithinPartitions("part", "file", "at").select("value").write.mode("overwrite").text(folder)

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 
 
 def write_delimited(df: DataFrame, folder: str, *, sep: str = "|", append: bool = False, parts: int | None = None) -> None:
-    """Writes text with a header; an empty table still gives a file that has it. parts: files at most (1: a single one)."""
+    """Writes text with a header, running the plan once; an empty table still gives a file that has it. parts: files at most (1: a single one)."""
+    spark = df.sparkSession
     out = df.coalesce(parts) if parts else df
-    if out.isEmpty():
-        out = out.sparkSession.createDataFrame([], df.schema).coalesce(1)
     out.write.mode("append" if append else "overwrite").option("header", True).option("sep", sep).csv(folder)
-    header = df.sparkSession.createDataFrame([(sep.join(df.columns),)], "value string").coalesce(1)
+    # A task without rows may leave no file, so what was written tells whether the header is there.
+    if spark.read.text(folder).isEmpty():
+        spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").option("header", True).option("sep", sep).csv(folder)
+    header = spark.createDataFrame([(sep.join(df.columns),)], "value string").coalesce(1)
     header.write.mode("overwrite").text(f"{folder.rstrip('/')}_header")

@@ -12,8 +12,9 @@ from tallyveil.operators import aggregates, diff, joins, keys, noise, quality, q
 from tallyveil.operators.bins import Bins
 from tallyveil.plans.budget import BudgetError, Session
 from tallyveil.plans.builder import Query
+from tallyveil.plans import characteristics, tabulate
 from tallyveil.plans.tabulate import detail_totals, shaped, tabulation
-from tallyveil.sources import readers, sinks
+from tallyveil.sources import readers, records, sinks
 from tallyveil.spec import coerced, spec_of
 
 INF = float("inf")
@@ -94,12 +95,12 @@ def test_released_noise_stays(spark, private, tmp_path):
 
 
 @pytest.mark.parametrize(("draw", "mass"), [
-    (lambda: noise.two_sided_geometric(Fraction(3, 2)), lambda k: math.exp(-abs(k) / 1.5)),
-    (lambda: noise.discrete_gaussian(Fraction(5, 2)), lambda k: math.exp(-k * k / 5)),
+    (lambda n: noise.two_sided_geometric(Fraction(3, 2), n), lambda k: math.exp(-abs(k) / 1.5)),
+    (lambda n: noise.discrete_gaussian(Fraction(5, 2), n), lambda k: math.exp(-k * k / 5)),
 ])
 def test_samplers_follow_their_distribution(draw, mass):
     n, total = 40_000, sum(mass(k) for k in range(-60, 61))
-    seen = Counter(draw() for _ in range(n))
+    seen = Counter(draw(n).tolist())
     cells = [k for k in range(-60, 61) if n * mass(k) / total > 20]
     chi = sum((seen[k] - n * mass(k) / total) ** 2 / (n * mass(k) / total) for k in cells)
     assert chi < len(cells) + 10 * math.sqrt(2 * len(cells))
@@ -107,6 +108,65 @@ def test_samplers_follow_their_distribution(draw, mass):
     assert wrong > len(cells) + 10 * math.sqrt(2 * len(cells))
 
 
+def test_laplace_follows_its_distribution(spark):
+    x = sorted(r[0] for r in spark.range(20_000).select(noise.laplace_noise(F.lit(0.0) * F.col("id"), 1.5)).collect())
+    cdf = lambda v: math.exp(v / 1.5) / 2 if v < 0 else 1 - math.exp(-v / 1.5) / 2
+    assert max(abs((i + 0.5) / len(x) - cdf(v)) for i, v in enumerate(x)) < 1.95 / math.sqrt(len(x))
+
+
+def test_uniform_is_uniform(spark):
+    x = sorted(r[0] for r in spark.range(20_000).select(noise.uniform(F.col("id"))).collect())
+    assert 0 < x[0] and x[-1] < 1 and max(abs((i + 0.5) / len(x) - v) for i, v in enumerate(x)) < 1.95 / math.sqrt(len(x))
+
+
+@pytest.mark.parametrize(("low", "high", "reach"), [(1, 2, 1), (3, 8, 3), (0, 10, 5), (-3, -3, 0)])
+@pytest.mark.parametrize("kind", ["pure", "zcdp"])
+def test_reach_of_deviations(spark, low, high, reach, kind):
+    """The noise of the sum of deviations has the scale that half a budget and the longer way to a bound ask for."""
+    df = spark.createDataFrame([(g, x) for g in range(300) for x in (low, high)], "g long, x long")
+    seen = []
+
+    def spy(value, reach, column_kind, parts=1):
+        seen.append((reach, parts))
+        return noise.mechanism(0.5, kind=kind)(value, reach, column_kind, parts)
+
+    domain = keys.keys_from_rows(df, ["g"])
+    out, mid, _ = aggregates.moments(df, "x", low, high, domain, spy, 2)
+    exact, _, _ = aggregates.moments(df, "x", low, high, domain, aggregates._exact, 2)
+    true = exact.first()["dev"]
+    devs = [r.dev - true for r in out.collect()]
+    assert seen == [(1, 2)] + ([(reach, 2)] if reach else [])
+    sd = math.sqrt(sum(d * d for d in devs) / len(devs))
+    scale = reach / 0.25 if kind == "pure" else reach / math.sqrt(2 * 0.25)
+    want = scale * math.sqrt(2) if kind == "pure" else scale
+    assert 0.75 * want <= sd <= 1.3 * want + 0.2 * bool(want)
+
+
+def test_noise_is_never_left_out(spark):
+    with pytest.raises(ValueError, match="reach"):
+        noise.mechanism(1.0)(F.col("x"), 0, "INTEGER")
+    with pytest.raises(ValueError, match="scale"):
+        noise.geometric_noise(F.col("x"), 0)
+    assert noise._rounded_up(1e-9) > 0 and float(noise._rounded_up(0.1)) >= 0.1
+    session = Session(1.0, "/tmp/none")
+    df = spark.createDataFrame([(1, 2)], "g long, x long")
+    session.add_private("t", df)
+    twice = lambda d, add: aggregates.count(d, None, "a", add).crossJoin(aggregates.count(d, None, "b", add))
+    with pytest.raises(ValueError, match="one aggregate"):
+        session.evaluate("t", twice, 0.5)
+    with pytest.raises(ValueError, match="domain"):
+        tabulate.levels(df, ["g"], (1, 2, 3), noise=noise.mechanism(1.0))
+    assert aggregates.selection_threshold(1.0, 1e-6) == 15
+
+
+def test_split_keeps_public_tables(spark):
+    session = Session(1.0, "/tmp/none")
+    session.add_private("t", spark.createDataFrame([(1, "a"), (2, "b")], "g long, x string"))
+    session.add_public("names", spark.createDataFrame([(1, "one")], "g long, name string"))
+    parts = session.split("t", "x", {"first": "a", "second": "b"}, 0.5)
+    assert Query("first").join_public("names", ["g"]).state(parts["first"]).df.count() == 1
+
+
 def test_mechanisms(spark):
     with pytest.raises(NotImplementedError):
         noise.mechanism(1.0, kind="zcdp")(F.col("x"), 1, "DECIMAL")
@@ -210,11 +270,11 @@ def test_sources_and_sinks(spark, tmp_path):
         (tmp_path / f"c{i}.csv").write_text(f"# note {i}\na,b\n{i},x\n{i},y\n")
     readers.join_commented(spark, [f"{tmp_path}/c1.csv", f"{tmp_path}/c2.csv"], f"{tmp_path}/joined")
     lines = [r.value for p in sorted((tmp_path / "joined").glob("part-*")) for r in spark.read.text(str(p)).collect()]
-    assert sorted(lines) == sorted([f"# {tmp_path}/c1.csv: 2 records", f"# {tmp_path}/c2.csv: 2 records", "# note 1", "# note 2", "a,b", "1,x", "1,y", "2,x", "2,y"])
+    assert lines == [f"# {tmp_path}/c1.csv: 2 records", f"# {tmp_path}/c2.csv: 2 records", "# note 1", "# note 2", "a,b", "1,x", "1,y", "2,x", "2,y"]
     p = spark.createDataFrame([(1, "20"), (1, "21"), (2, "20")], "mafid int, relship string")
     u = spark.createDataFrame([(1, "b1", 6), (2, "b2", 0)], "mafid int, block_id string, hht int")
     g = spark.createDataFrame([("b1", "x"), ("b3", "z")], "block_id string, tract string")
-    assert [(r.mafid, r.hht) for r in readers.units(p, u, g).collect()] == [(1, 4)]
+    assert [(r.MAFID, r.HHT) for r in readers.units(p, u, g).collect()] == [(1, 4)]
     assert found(readers.geography_of_units(g, u)) == [("b1", "x"), ("b2", None)]
 
 
@@ -228,6 +288,76 @@ def test_tables_of_a_set(spark):
         quality.validated(t, rules["bad"])
 
 
+def test_files_of_a_folder(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("st,n\n01,5\n")
+    (tmp_path / "bad.csv").write_text("st,n\n99,5\n")
+    rules = {name: [quality.Values("st", ("01",)), quality.Range("n", 0, 9)] for name in ("good.csv", "bad.csv", "gone.csv")}
+    out = quality.invalid_files(spark, str(tmp_path), rules, dict.fromkeys(rules, "st string, n int"))
+    assert out == {"bad.csv": ["st: 1 invalid, such as 99"], "gone.csv": ["the table is missing"]}
+
+
+@pytest.mark.parametrize(("layout", "fields", "width"), [(records.UNIT, 28, 76), (records.PERSON, 28, 91), (records.CONTROL, 8, 67)])
+def test_layouts_have_no_gaps(layout, fields, width):
+    found = records.record(layout)
+    assert len(found) == fields and found[-1].end == width
+    assert [f.start for f in found] == [0, *[f.end for f in found[:-1]]]
+
+
+def test_record_rules(spark):
+    of = {f.name: f for f in records.record(records.PERSON) + records.record(records.UNIT)}
+    cases = [("HHT2", "12", True), ("HHT2", "13", False), ("HHT2", "1", False), ("QAGE", " 5 ", True), ("QAGE", "116", False), ("QAGE", "x", False), ("QSPAN", "9100", True), ("QSPAN", "9101", False), ("QRACE2", "    ", True), ("QRACE2", "   ", False),
+             ("BCUSTATEFP", "03", False), ("BCUSTATEFP", "72", True), ("BCUSTATEFP", " 1", True), ("HHLDRAGE", "200", False), ("HHLDRAGE", "115", True), ("OIDTB", "  12345678901234567890", True), ("OIDTB", "1.5", False), ("RELSHIP", None, False), ("RELSHIP", "None", False)]
+    for name, value, want in cases:
+        df = spark.createDataFrame([(value,)], f"{name} string")
+        assert df.select(of[name].valid()).first()[0] == want, (name, value)
+
+
+def test_bounded_characteristics(spark):
+    groups = spark.createDataFrame([("A", "race", False, "1"), ("A only", "race", True, "1"), ("B", "race", False, "2"), ("E", "ethnicity", None, "1")], "`group` string, kind string, alone boolean, level string").selectExpr("*", "false AS detailed_only", "false AS coarse_only")
+    mapping = spark.createDataFrame([("1", "A"), ("2", "A"), ("1", "A only"), ("2", "A only"), ("3", "B"), ("9", "E")], "code string, `group` string")
+    own = characteristics.characteristics(groups, mapping, 2)
+    assert own.reach == 3
+    persons = spark.createDataFrame([(1, ["1", "2"], "9"), (2, ["1", "3"], "8"), (3, ["7"], None), (4, [], "9"), (5, ["1", "1"], "9")], "id long, codes array<string>, eth string")
+    assert sorted(map(tuple, own.of(persons, "codes", "eth").select("id", "grp").collect())) == [(1, "A"), (1, "A only"), (1, "E"), (2, "A"), (2, "B"), (4, "E"), (5, "A"), (5, "A only"), (5, "E")]
+    assert characteristics.characteristics(groups, mapping, 2, level="2").reach == 2
+    with pytest.raises(Exception, match="more than 2 codes"):
+        own.of(spark.createDataFrame([(1, ["1", "2", "3"], "9")], persons.schema), "codes", "eth").collect()
+    with pytest.raises(ValueError, match="alone"):
+        characteristics.chosen(groups, alone=True)
+
+
+def test_planned_run_with_noise(spark):
+    rng = random.Random(3)
+    people = spark.createDataFrame([("x" if i % 50 else "y", rng.choice(["a", "b"]), rng.choice("12"), rng.randrange(116)) for i in range(4000)], "COUNTY string, grp string, sex string, age int")
+    domain = spark.createDataFrame([("COUNTY", r, g, 1.0 if g == "a" else 5.0, [50, 500, 5000], 0.99, g == "b") for r in ("x", "y", "empty") for g in ("a", "b")], "REGION_TYPE string, REGION_ID string, grp string, budget double, thresholds array<int>, chance double, totals_only boolean")
+    totals, tables = characteristics.planned_tabulation(people, {"COUNTY": "COUNTY"}, domain, ["1", "2"], release=noise.released)
+    got = {(r.REGION_ID, r.grp): r.COUNT for r in totals.collect()}
+    exact = {(r.COUNTY, r.grp): r["count"] for r in people.groupBy("COUNTY", "grp").count().collect()}
+    assert all(abs(got[k] - exact[k]) < 120 for k in exact if k in got) and ("x", "a") in got and ("x", "b") in got
+    assert ("empty", "b") not in got or got["empty", "b"] >= 1
+    levels = {(r.REGION_ID, r.grp): r.STAT_LEVEL for r in characteristics.published_levels([tables]).collect()}
+    assert levels["x", "a"] == 2 and all(k[1] == "a" for k in levels)
+    by = spark.range(20_000).select(F.when(F.col("id") < 10_000, 1.0).otherwise(5.0).alias("s")).select("s", noise.geometric_noise_by(F.lit(0) * F.col("s"), F.col("s")).alias("k"))
+    spread = {r.s: r.sd for r in noise.released(by).groupBy("s").agg(F.stddev("k").alias("sd")).collect()}
+    assert 1.25 < spread[1.0] < 1.5 and 6.5 < spread[5.0] < 7.6
+
+
+def test_ids_need_a_limit(spark, tmp_path):
+    session = Session(INF, str(tmp_path))
+    session.add_private("visits", spark.createDataFrame([(i % 3, i, "ab"[i % 2]) for i in range(30)], "who long, n long, place string"), id_column="who")
+    visits = Query("visits")
+    with pytest.raises(ValueError, match="limit the rows"):
+        session.run(visits.count(), INF)
+    with pytest.raises(ValueError, match="must stay"):
+        visits.select("n").state(session)
+    with pytest.raises(ValueError, match="no limit"):
+        session.evaluate("visits", lambda df, add: aggregates.count(df, None, "n", add), INF)
+    assert found(session.run(visits.limit_rows_per_id(4).count(), INF)) == [(12,)]
+    assert visits.flat_map(F.array(F.lit(1), F.lit(2)), 2, "k").limit_rows_per_id(4).state(session).reach == 4
+    few = visits.rename({"who": "id"}).limit_groups_per_id(["place"], 1, 2)
+    assert few.state(session).reach == 2 and found(session.run(few.count(), INF)) == [(6,)]
+
+
 def test_tabulation_is_exact_without_noise(spark):
     rng = random.Random(5)
     data = [(f"r{rng.randrange(3)}", "g", rng.choice("12"), rng.randrange(116)) for _ in range(900)] + [("r9", "g", "1", 40)]
