@@ -73,7 +73,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, salts: int = SALTS, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """The rows of docs that `exact_groups` keeps, with all their columns; exactly one for each text."""
+    """The rows of docs that `exact_groups` keeps, with all their columns, whatever their names; exactly one for each text.
+
+    Null and empty texts are one group, of which one row stays; ties of id and
+    text leave one row; null ids lose to all others; an empty table gives no rows.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     return _matched(docs, id_col, text_col, salts, digest, row).filter("kept").select("row.*")
 

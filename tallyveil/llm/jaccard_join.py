@@ -403,16 +403,8 @@ def _true_links(found: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
     return staged(rows.mapInPandas(run, "a long, b long, links long"), "true-links")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, join: Join = Join()) -> DataFrame:
-    """One row for each row of docs: id, body (hash of the text), n_shingles, component_id, n_links.
-
-    component_id is the smallest id that links reach, the row's own included;
-    n_links counts the other rows that the row links with directly. Words are
-    what ASCII white space divides, with A-Z lowered. Null and empty texts
-    have no shingles and link with nothing. Repeated rows are rows that link.
-    Null ids come after all others: a component of null ids only has a null id.
-    An empty table gives no rows. Other columns play no part.
-    """
+def _placed(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFrame:
+    """id, body, n_shingles, first (the row that stands for the component: its least id, of equal ids the least body; null ids come last), n_links."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
     sets = staged(_sets(rows, join), "shingle-sets")
     sizes = {r.s: r.n for r in sets.groupBy(F.least("n", F.lit(MOST_SMALL + 1)).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -423,22 +415,41 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     degree = links.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
     near = found.select("cls", "k").join(roots, F.col("k") == F.col("node")).join(degree, F.col("k") == F.col("a"), "left").select("cls", "root", "links")
 
+    row = F.struct(F.col("id").isNull().alias("without"), "id", "body")
     salt = F.pmod(F.xxhash64("id", "body"), F.lit(SALTS)).cast("int")
     own = sets.filter("n > 0").withColumn("salt", salt)
-    classes = own.groupBy("cls").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.collect_set("salt").alias("salts")).join(near, "cls", "left")
+    classes = own.groupBy("cls").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("copies"), F.collect_set("salt").alias("salts")).join(near, "cls", "left")
     lane = F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")  # a component may hold a third of all sets
     classes = staged(classes.select("cls", "first", "salts", "root", lane.alias("lane"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
     many = classes.filter("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("least"), F.collect_set("lane").alias("lanes")).withColumn("lane", F.explode("lanes")).drop("lanes")
-    final = classes.join(many, ["root", "lane"], "left").select("cls", F.explode("salts").alias("salt"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), "n_links")
-    full = own.join(final, ["cls", "salt"]).select("id", "body", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    none = sets.filter("n = 0").select("id", "body", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return full.unionByName(none).withColumnRenamed("id", id_col)
+    final = classes.join(many, ["root", "lane"], "left").select("cls", F.explode("salts").alias("salt"), F.coalesce("least", "first").alias("first"), "n_links")
+    full = own.join(final, ["cls", "salt"]).select("id", "body", F.col("n").alias("n_shingles"), "first", "n_links")
+    return full.unionByName(sets.filter("n = 0").select("id", "body", F.col("n").alias("n_shingles"), row.alias("first"), F.lit(0).cast("long").alias("n_links")))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, join: Join = Join()) -> DataFrame:
+    """One row for each row of docs: id, body (hash of the text), n_shingles, component_id, n_links.
+
+    component_id is the smallest id that links reach, the row's own included;
+    n_links counts the other rows that the row links with directly. Words are
+    what ASCII white space divides, with A-Z lowered. Null and empty texts
+    have no shingles and link with nothing. Repeated rows are rows that link.
+    Null ids come after all others: a component of null ids only has a null id.
+    An empty table gives no rows. Other columns play no part.
+    """
+    return _placed(docs, id_col, text_col, join).select(F.col("id").alias(id_col), "body", "n_shingles", F.col("first.id").alias("component_id"), "n_links")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, join: Join = Join(5, 80, 100)) -> DataFrame:
-    """The rows of docs whose id is their component's, with all their columns; one row for each id and text."""
-    found = staged(near_copies(docs, id_col, text_col, join=join).select(F.col(id_col).alias("id"), "body", "component_id"), "near-copies")
-    stay = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id", "body").distinct()
+    """One row of docs for each component, with all its columns, whatever their names: that with the least id.
+
+    Null ids come after all others; of equal ids one text stays, chosen by its
+    hash, and of rows equal in both one. Texts without words (null, empty,
+    blank) link with nothing and all stay, but for rows that repeat id and
+    text. An empty table gives no rows.
+    """
+    found = staged(_placed(docs, id_col, text_col, join).select("id", "body", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("body") == F.col("first.body"))).alias("stays")), "near-copies")
+    stay = found.filter("stays").select("id", "body").distinct()
     if stay.count() <= MOST_BROADCAST:
         stay = F.broadcast(stay)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"))

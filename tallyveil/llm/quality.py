@@ -122,7 +122,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the classifier passes, with all their columns."""
+    """The rows of docs that the classifier passes, with all their columns, whatever their names.
+
+    Null texts are judged as empty ones; repeated rows pass or go together;
+    without labels of both kinds every row passes; an empty table gives no rows.
+    """
     model = fit(docs, labels, id_col, text_col)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return _featured(docs, id_col, text_col, row).filter(model.score() >= 0.5).select("row.*")
