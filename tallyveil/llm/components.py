@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     labels = left.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("root", F.col("node"))
     while not left.isEmpty():
         up = staged(left.groupBy("high").agg(F.min("low").alias("low")), "moves")
-        first, then = up.alias("x"), up.alias("y")
+        first, then = up.alias("x"), (F.broadcast(up) if up.count() <= MOST_BROADCAST else up).alias("y")
         moves = first.join(then, F.col("x.low") == F.col("y.high"), "left").select(F.col("x.high").alias("at"), F.coalesce("y.low", "x.low").alias("to"))
         moves = staged(moves, "moves")
         if moves.count() <= MOST_BROADCAST:

@@ -53,9 +53,9 @@ EXTRA = 10
 BLOCK = 512
 BLOCK_ELEMENTS = 2_000_000
 #: Elements that one piece of work counts at a time.
-CHUNK = 8192
+CHUNK = 2048
 #: Bytes of text that are cut into words at a time, and sets that a task remembers.
-SLICE = 8_000_000
+SLICE = 1_000_000
 REMEMBERED = 200_000
 #: Rows of candidates up to which they are broadcast to find their texts.
 MOST_BROADCAST = 500_000
