@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import clustering, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_ledger, url_filter
+from . import clustering, conversation, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_ledger, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,13 +63,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation; edge cases as in `conversation.repair_audit`."""
+    return conversation.repair_audit(_table(spark, sf_dir, "conversations"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector; edge cases as in `clustering.clustered`."""
     return clustering.clustered(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op4_line_dedup, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality, op13_centroids)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op4_line_dedup, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality, op11_conversation_repair, op13_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -81,5 +86,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_source_mixing": mixing.OP7_SQL,
         "op8_url_filter": url_filter.op8_sql(),
         "op9_decontamination": decontaminate.OP9_SQL,
+        "op11_conversation_repair": conversation.op11_sql(),
         "op13_centroids": clustering.op13_sql(),
     }
