@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import clustering, conversation, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_ledger, url_filter
+from . import clustering, conversation, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, secret_ledger, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,13 +68,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair_audit(_table(spark, sf_dir, "conversations"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from rows that aren't held out; edge cases as in `toxicity.scored`."""
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector; edge cases as in `clustering.clustered`."""
     return clustering.clustered(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op4_line_dedup, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality, op11_conversation_repair, op13_centroids)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_secret_ledger, op4_line_dedup, op5_jaccard_join, op6_personal_data, op7_source_mixing, op8_url_filter, op9_decontamination, op10_quality, op11_conversation_repair, op12_toxicity, op13_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
