@@ -6,16 +6,18 @@ Noisy operators run without a budget limit here, where they are exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .operators import aggregates, diff, joins, keys, noise, quality, quantile, rows, special, truncate
+from .operators import aggregates, contributions, diff, joins, keys, noise, prefix, quality, quantile, rows, special, truncate
 from .operators.bins import Bins
 from .plans import budget, characteristics, report, tabulate
 from .plans.builder import Query as Steps
 from .sources import readers, records
+from .scratch import new_folder
 from .spec import ColumnSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +135,14 @@ def bounded_stdev(spark, d):
     return out.withColumn("sd", F.round("sd", 4))
 
 
+@query("SELECT o_orderstatus, round((count(*) * sum(x * x) - sum(x) * sum(x)) / (CAST(count(*) AS DOUBLE) * count(*)) / 1e12, 2) AS var FROM (SELECT o_orderstatus, CAST(least(greatest(CAST(o_orderkey AS BIGINT) * 99991, 0), 5000000000) AS HUGEINT) AS x FROM orders) GROUP BY o_orderstatus")
+def variance_wide(spark, d):
+    """Whole numbers whose squares pass 64 bits in a sum."""
+    o = table(spark, d, "orders").select("o_orderstatus", (F.col("o_orderkey").cast("long") * 99991).alias("x"))
+    out = aggregates.variance(o, "x", 0, 5_000_000_000, keys.keys_from_rows(o, ["o_orderstatus"]), "var")
+    return out.withColumn("var", F.round(F.col("var") / 1e12, 2))
+
+
 # quantiles
 
 
@@ -173,6 +183,12 @@ def max_gap(spark, d):
     return _gap(spark, d, 1)
 
 
+@query("SELECT CAST(0 AS DOUBLE) AS \"left\", CASE WHEN count(*) = 0 THEN CAST(50 AS DOUBLE) END AS \"right\" FROM lineitem WHERE l_quantity < -1")
+def quantile_gap_empty(spark, d):
+    """No rows pass: the whole range is the only gap, as it is for a key without rows."""
+    return quantile.quantile_gap(table(spark, d, "lineitem").filter("l_quantity < -1"), "l_quantity", 0.5, 0.0, 50.0)
+
+
 # bins
 
 
@@ -243,6 +259,10 @@ def public_join_fanout(spark, d):
     return joins.fanout(table(spark, d, "customer"), ["c_nationkey"])
 
 
+def content_sql(*columns: str) -> str:
+    return f"sha256(concat_ws('|', {', '.join(columns)}))"
+
+
 def order_of(*columns: str) -> str:
     return f"md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in columns)})), {', '.join(columns)}"
 
@@ -370,10 +390,16 @@ def grouping_flat_map(spark, d):
     return rows.grouping_flat_map(p, F.array("p_brand", "p_type", "p_brand", "p_name"), 3, "grp").select("p_partkey", "grp")
 
 
-@query("SELECT count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey, o_orderstatus) AS id0, concat_ws('|', o_custkey, o_orderstatus, id0) AS id FROM orders)")
+@query("""SELECT o_custkey, o_orderstatus, hex(CAST(to_json([CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(n AS VARCHAR)]) AS VARCHAR)) AS id
+FROM (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey, o_orderstatus) AS n FROM orders)""")
 def unique_id(spark, d):
-    out = rows.unique_id(table(spark, d, "orders").select("o_custkey", "o_orderstatus"), "id")
-    return out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
+    return rows.unique_id(table(spark, d, "orders").select("o_custkey", "o_orderstatus"), "id")
+
+
+@query("SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag) AS n FROM lineitem")
+def numbered_copies(spark, d):
+    """Three values only, each in a third of all rows or so."""
+    return prefix.copy_numbers(table(spark, d, "lineitem").select("l_returnflag"), ["l_returnflag"], "n")
 
 
 @query("SELECT c_custkey, CASE WHEN c_nationkey = 6 THEN 4 WHEN c_nationkey = 7 THEN 5 ELSE c_nationkey END AS kind, CASE WHEN c_custkey % 3 = 0 THEN 'Null' ELSE c_mktsegment END AS segment, CAST(c_custkey * 2 + 1 AS BIGINT) AS next FROM customer")
@@ -421,6 +447,28 @@ def noise_bounds(spark, d):
     return line.select("l_linenumber", F.round(noise.inverse_cdf("laplace", F.col("l_linenumber") * 1.5, F.col("l_linenumber") * 0.125), 6).alias("bound"))
 
 
+MASSES = """w AS (SELECT DISTINCT v FROM g), m AS (SELECT v, k, exp(-k * k / (2 * v)) AS m FROM (SELECT v, unnest(range(-CAST(ceil(9 * sqrt(v)) AS BIGINT) - 1, CAST(ceil(9 * sqrt(v)) AS BIGINT) + 2)) AS k FROM w)),
+t AS (SELECT v, sum(m) AS total FROM m GROUP BY v), c AS (SELECT m.v, k, sum(m) OVER (PARTITION BY m.v ORDER BY k) / total AS below FROM m JOIN t ON m.v = t.v)"""
+
+
+@query(f"""
+WITH g AS (SELECT o_orderkey, (o_orderkey % 7 + 1) * (o_orderkey % 7 + 1) / 0.5 AS v, (o_orderkey % 997 + 1) / 1000.0 AS p FROM orders), {MASSES}
+SELECT o_orderkey, CAST(min(k) AS BIGINT) AS bound FROM g JOIN c ON g.v = c.v AND below >= p GROUP BY o_orderkey""")
+def noise_bounds_gaussian(spark, d):
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").select(k, ((k % 7 + 1) * (k % 7 + 1) / F.lit(0.5)).alias("v"), ((k % 997 + 1) / F.lit(1000.0)).alias("p"))
+    return noise.gaussian_bounds(o, "v", "p", "bound").select("o_orderkey", "bound")
+
+
+@query("""
+WITH g AS (SELECT DISTINCT CAST(l_linenumber AS DOUBLE) AS v FROM lineitem), m AS (SELECT v, k, exp(-k * k / (2 * v)) AS m FROM (SELECT v, unnest(range(-25, 26)) AS k FROM g)), t AS (SELECT v, sum(m) AS total FROM m GROUP BY v)
+SELECT v AS variance, k AS value, round(m / total, 9) AS mass, round(sum(m) OVER (PARTITION BY m.v ORDER BY k) / total, 9) AS below FROM m JOIN t USING (v) WHERE abs(k) <= ceil(9 * sqrt(v)) + 1""")
+def gaussian_masses(spark, d):
+    line = table(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("variance"))
+    out = noise.masses(line)
+    return out.withColumns({"mass": F.round("mass", 9), "below": F.round("below", 9)})
+
+
 Q_FIT = 0.6065306597126334
 
 
@@ -440,6 +488,20 @@ def noise_fit_of_draws(spark, d):
     return noise.noise_fit(drawn, "k", 2.0, 8)
 
 
+@query()
+def noise_fit_of_gaussians(spark, d):
+    """Draws of discrete Gaussian noise, one for each line item, against their distribution."""
+    drawn = noise.released(table(spark, d, "lineitem").select(noise.gaussian_noise(F.col("l_linenumber") * 0, 4.0).alias("k")))
+    return noise.noise_fit(drawn, "k", 2.0, 8, "gaussian")
+
+
+@query()
+def noise_fit_of_laplace(spark, d):
+    """Draws of Laplace noise, one for each line item, against their distribution."""
+    drawn = noise.released(table(spark, d, "lineitem").select(noise.laplace_noise(F.col("l_linenumber") * 0.0, 3.0).alias("k")))
+    return noise.noise_fit(drawn, "k", 3.0, 6, "laplace")
+
+
 @query()
 def keyed_count_noisy(spark, d):
     return aggregates.count(table(spark, d, "lineitem"), flag_keys(spark), "n", noise.mechanism(1.0))
@@ -464,6 +526,33 @@ def median_noisy(spark, d):
 # budgets
 
 
+@query(f"""
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS id, 'orders' AS t, CAST(o_orderkey AS VARCHAR) AS x, {content_sql("o_custkey", "o_orderkey", "1")} AS place FROM orders),
+l AS (SELECT CAST(k AS VARCHAR) AS id, 'visits' AS t, CAST(m AS VARCHAR) AS x, {content_sql("k", "m", "pos")} AS place FROM (SELECT user_id % 500 AS k, event_id % 4 AS m, row_number() OVER (PARTITION BY user_id % 500, event_id % 4) AS pos FROM events)),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {content_sql("id", "t", "place")}) AS pos FROM (SELECT * FROM o UNION ALL SELECT * FROM l))
+SELECT t AS "table", CAST(id AS BIGINT) AS id, CAST(x AS BIGINT) AS x FROM r WHERE pos <= 5""")
+def limited_across_tables(spark, d):
+    """At most five rows of a customer in two tables together, repeated rows counting each."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    v = table(spark, d, "events").select((F.col("user_id") % 500).alias("k"), (F.col("event_id") % 4).alias("m"))
+    out = contributions.limit_across({"orders": o, "visits": v}, {"orders": "o_custkey", "visits": "k"}, 5)
+    shape = lambda name, k, x: out[name].select(F.lit(name).alias("table"), F.col(k).cast("long").alias("id"), F.col(x).cast("long").alias("x"))
+    return shape("orders", "o_custkey", "o_orderkey").unionByName(shape("visits", "k", "m"))
+
+
+@query(f"""
+WITH p AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')), k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {order_of("o_custkey", "o_orderpriority")}) AS pos FROM p)
+SELECT part, count(o_orderkey) AS n FROM (VALUES ('1-URGENT'), ('2-HIGH'), ('5-LOW')) v(part) LEFT JOIN (SELECT o.* FROM orders o JOIN k ON o.o_custkey = k.o_custkey AND o.o_orderpriority = k.o_orderpriority AND pos <= 2) q ON q.o_orderpriority = part GROUP BY part""")
+def split_by_ids(spark, d):
+    """Parts of a table with an id: every customer in at most two of three parts."""
+    session = budget.Session(float("inf"), new_folder(spark, "released"))
+    session.add_private("orders", table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), id_column="o_custkey")
+    parts = session.split("orders", "o_orderpriority", {"a": "1-URGENT", "b": "2-HIGH", "c": "5-LOW"}, float("inf"), most_parts=2)
+    names = {"a": "1-URGENT", "b": "2-HIGH", "c": "5-LOW"}
+    counts = [s.run(Steps(n).limit_rows_per_id(10_000).count("n"), float("inf")).select(F.lit(names[n]).alias("part"), "n") for n, s in parts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("SELECT s.o_orderstatus, count(o.o_orderkey) AS count FROM (VALUES ('O'), ('F'), ('Z')) s(o_orderstatus) LEFT JOIN orders o USING (o_orderstatus) GROUP BY s.o_orderstatus")
 def split_counts(spark, d):
     return budget.split_counts(table(spark, d, "orders"), "o_orderstatus", ["O", "F", "Z"])
@@ -576,6 +665,18 @@ def merged_ranges(spark, d):
     return quality.merged_ranges(p, ["p_brand"])
 
 
+@query("""
+WITH r AS (SELECT CAST(l_orderkey * 10 AS BIGINT) AS low, CAST(l_orderkey * 10 + l_linenumber * 4 - 5 AS BIGINT) AS high FROM lineitem),
+m AS (SELECT *, max(high) OVER (ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM (SELECT DISTINCT * FROM r WHERE high >= low)),
+g AS (SELECT *, sum(CASE WHEN low > top + 1 THEN 1 ELSE 0 END) OVER (ORDER BY low, high) AS pos FROM m)
+SELECT 'key' AS field, min(low) AS low, max(high) AS high FROM g GROUP BY pos""")
+def merged_ranges_of_one_field(spark, d):
+    """All ranges are of one field."""
+    low = F.col("l_orderkey").cast("long") * 10
+    r = table(spark, d, "lineitem").select(F.lit("key").alias("field"), low.alias("low"), (low + F.col("l_linenumber") * 4 - 5).cast("long").alias("high")).filter("high >= low")
+    return quality.merged_ranges(r, ["field"])
+
+
 @query("SELECT 'negative' AS problem, count(*) FILTER (c_acctbal < 0) AS rows FROM customer UNION ALL SELECT 'state', count(*) FILTER (c_nationkey > 12) FROM customer UNION ALL SELECT 'rule REGION_TYPE', 0")
 def output_problems(spark, d):
     c = table(spark, d, "customer").select(F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("REGION_ID"), F.lit("STATE").alias("REGION_TYPE"), F.col("c_acctbal").alias("COUNT"))
@@ -619,6 +720,29 @@ def related_persons(spark, d):
     return readers.related_persons(u, o, related=["1-URGENT", "2-HIGH"]).select("mafid", "related")
 
 
+@query("""
+WITH u AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN 3 ELSE 2 END AS RTYPE, count(o_orderkey) AS pop, c_nationkey AS n, c_mktsegment AS seg FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL),
+f AS (SELECT o_custkey AS id, count(*) FILTER (20 + o_orderkey % 15 IN (20, 21, 23, 25, 26, 27, 28, 29, 30, 31, 32, 33)) AS k FROM orders GROUP BY o_custkey)
+SELECT RTYPE, id AS MAFID, pop AS FINAL_POP, CAST(CASE WHEN pop >= 2 AND RTYPE = 2 AND k > 1 THEN k ELSE 0 END AS BIGINT) AS NPF, CAST(CASE WHEN n % 2 = 0 THEN 0 ELSE n END AS BIGINT) AS HHSPAN, CASE WHEN seg = 'BUILDING' THEN '00' ELSE seg END AS HHRACE
+FROM u LEFT JOIN f USING (id)""")
+def household_records(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    person = o.select(F.col("o_custkey").alias("mafid"), (F.col("o_orderkey") % 15 + 20).cast("string").alias("relship"))
+    sizes = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    unit = c.join(sizes, c["c_custkey"] == sizes["o_custkey"], "left").select(
+        F.when(F.col("c_custkey") % 5 == 0, 3).otherwise(2).alias("rtype"), F.col("c_custkey").alias("mafid"), F.lpad(F.coalesce("n", F.lit(0)).cast("string"), 5, " ").alias("final_pop"),
+        F.when(F.col("c_nationkey") % 2 == 0, "  ").otherwise(F.col("c_nationkey").cast("string")).alias("hhspan"), F.when(F.col("c_mktsegment") == "BUILDING", "  ").otherwise(F.col("c_mktsegment")).alias("hhrace"),
+    )
+    return readers.household_records(person, unit, columns=["RTYPE", "MAFID", "FINAL_POP", "NPF", "HHSPAN", "HHRACE"])
+
+
+@query("SELECT CAST(2 AS INTEGER) AS RTYPE, c_custkey AS MAFID, n_name AS TABBLKST FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey < 20")
+def household_places(spark, d):
+    unit = table(spark, d, "customer").select(F.lit(2).alias("rtype"), F.col("c_custkey").alias("mafid"), F.col("c_nationkey").alias("oidtb"))
+    geo = table(spark, d, "nation").filter("n_nationkey < 20").select(F.col("n_nationkey").cast("string").alias("oidtabblk"), F.col("n_name").alias("tabblkst"))
+    return readers.household_places(unit, geo, columns=["RTYPE", "MAFID", "TABBLKST"])
+
+
 @query("""
 SELECT REGION_ID, REGION_TYPE, count FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE lpad(CAST(o_custkey % 40 AS VARCHAR), 2, '0') END AS REGION_ID, CASE WHEN o_orderkey % 3 = 0 THEN 'USA' WHEN o_orderkey % 3 = 1 THEN 'STATE' ELSE 'AIANNH' END AS REGION_TYPE, o_orderkey AS count FROM orders)
 WHERE REGION_TYPE = 'USA' OR REGION_TYPE = 'STATE' AND REGION_ID IN ('01', '02') OR REGION_TYPE = 'AIANNH' AND REGION_ID IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') FROM nation)""")
@@ -818,7 +942,16 @@ def full_domain(spark, d):
 def apply_to_groups(spark, d):
     o = table(spark, d, "orders").select("o_orderpriority", (F.col("o_totalprice") * 100).cast("long").alias("c"))
     listed = keys.keys_from_rows(o, ["o_orderpriority"]).filter("o_orderpriority <> '5-LOW'").union(keys.keys_from_values(spark, {"k": ["absent"]}))
-    return aggregates.apply_to_groups(o, listed, lambda g: g.groupby("o_orderpriority", as_index=False).agg(cents=("c", "max")), "o_orderpriority string, cents long", {"cents": -1})
+    return aggregates.apply_to_groups(o, listed, lambda g: g.groupby("o_orderpriority", as_index=False).agg(cents=("c", "max")), "o_orderpriority string, cents long", {"cents": -1}, lambda g: g.groupby("o_orderpriority", as_index=False).agg(cents=("cents", "max")))
+
+
+@query("SELECT l_returnflag, CAST(min(l_quantity) AS BIGINT) AS low, CAST(sum(CAST(l_quantity AS BIGINT) * CAST(l_quantity AS BIGINT)) % 1000007 AS BIGINT) AS digest FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_returnflag")
+def groups_in_parts(spark, d):
+    """Two of three flags, each a third of all rows or more, by slices that combine."""
+    line = table(spark, d, "lineitem").select("l_returnflag", F.col("l_quantity").cast("long").alias("q"))
+    listed = keys.keys_from_rows(line, ["l_returnflag"]).filter("l_returnflag <> 'R'")
+    one = lambda g, low, digest: g.iloc[:1][["l_returnflag"]].assign(low=low, digest=digest % 1_000_007)
+    return aggregates.apply_to_groups(line, listed, lambda g: one(g, g["q"].min(), (g["q"] * g["q"]).sum()), "l_returnflag string, low long, digest long", {}, lambda g: one(g, g["low"].min(), g["digest"].sum()))
 
 
 # record layouts
@@ -912,6 +1045,25 @@ def rules_of_code_table(spark, d):
     return quality.rule_report(n, [rule]).drop("examples")
 
 
+@query("""
+WITH p AS (SELECT (o_orderkey % 1000) * 1000 + o_custkey % 1000 AS code, CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE o_orderpriority END AS prio FROM orders),
+k AS (SELECT DISTINCT l_orderkey % 1000 * 1000 + l_suppkey % 1000 AS code FROM lineitem)
+SELECT 'code' AS column, count(*) AS checked, count(*) FILTER (code NOT IN (SELECT code FROM k)) AS invalid FROM p UNION ALL SELECT 'prio', count(*), count(*) FILTER (prio NOT IN (SELECT o_orderpriority FROM orders)) FROM p""")
+def rules_of_large_code_tables(spark, d):
+    """Rules that hold tables of codes, the larger one with as many codes as the line items have."""
+    o = table(spark, d, "orders").select((F.col("o_orderkey") % 1000 * 1000 + F.col("o_custkey") % 1000).alias("code"), F.when(F.col("o_orderkey") % 3 == 0, "x").otherwise(F.col("o_orderpriority")).alias("prio"))
+    codes = table(spark, d, "lineitem").select((F.col("l_orderkey") % 1000 * 1000 + F.col("l_suppkey") % 1000).alias("code"))
+    rules = [quality.rules_from_codes(codes, "code", "code", most=10), quality.rules_from_codes(table(spark, d, "orders"), "o_orderpriority", "prio", most=2)]
+    return quality.rule_report(o, rules).drop("examples")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 1000 * 1000 + o_custkey % 1000 IN (SELECT l_orderkey % 1000 * 1000 + l_suppkey % 1000 FROM lineitem) AND o_totalprice < 300000")
+def rows_of_large_code_table(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 1000 * 1000 + F.col("o_custkey") % 1000).alias("code"), F.col("o_totalprice").cast("double").alias("price"))
+    codes = table(spark, d, "lineitem").select((F.col("l_orderkey") % 1000 * 1000 + F.col("l_suppkey") % 1000).alias("code"))
+    return quality.validated(o, [quality.rules_from_codes(codes, "code", "code", most=10), quality.Range("price", 0, 300000)], "remove").select("o_orderkey")
+
+
 @query("""SELECT 3 AS phase, 'customers without orders' AS problem, count(*) AS rows FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) HAVING count(*) > 0
 UNION ALL SELECT 3, 'repeated order keys', count(*) FROM (SELECT o_custkey, o_orderstatus FROM orders GROUP BY ALL HAVING count(*) > 1) HAVING count(*) > 0""")
 def phased_check(spark, d):
@@ -947,7 +1099,7 @@ WITH e AS (SELECT o_custkey, o_orderkey, n_regionkey, l_linenumber FROM orders J
 k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {order_of("o_custkey", "o_orderkey", "n_regionkey", "l_linenumber")}) AS pos FROM e)
 SELECT r_regionkey AS n_regionkey, count(pos) AS n FROM region LEFT JOIN (SELECT * FROM k WHERE pos <= 5) ON n_regionkey = r_regionkey GROUP BY r_regionkey""")
 def count_by_limited_ids(spark, d):
-    session = budget.Session(float("inf"), noise.release_folder(spark))
+    session = budget.Session(float("inf"), new_folder(spark, "released"))
     session.add_private("orders", table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), id_column="o_custkey")
     c, n = table(spark, d, "customer"), table(spark, d, "nation")
     session.add_public("homes", c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.col("c_custkey").alias("o_custkey"), "n_regionkey"))
@@ -995,7 +1147,7 @@ n AS (SELECT m.*, count(age) AS total FROM m LEFT JOIN q ON q.REGION_TYPE = m.RE
 t AS (SELECT REGION_TYPE, REGION_ID, grp, total, CAST(total >= 100 AS INTEGER) + CAST(total >= 400 AS INTEGER) + CAST(total >= 2000 AS INTEGER) AS level FROM n WHERE NOT totals_only)"""
 
 
-def planned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def planned(spark: SparkSession, d: str, kind: str = "pure", noisy: bool = False) -> tuple[DataFrame, DataFrame]:
     o, c, n, r = (table(spark, d, t) for t in ("orders", "customer", "nation", "region"))
     joined = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
     persons = joined.select(F.col("n_name").alias("COUNTY"), F.col("r_name").alias("STATE"), F.lit("ALL").alias("USA"), F.col("o_orderpriority").alias("grp"), F.col("o_orderstatus").alias("sex"), F.least(F.lit(115), F.floor(F.col("o_totalprice") / 4000)).cast("int").alias("age"))
@@ -1003,7 +1155,7 @@ def planned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     plan = spark.sql(f"SELECT rt AS REGION_TYPE, lv AS level, CAST(budget AS DOUBLE) AS budget, array(100, 400, 2000) AS thresholds, CAST(0 AS DOUBLE) AS chance FROM {PLAN} AS l(rt, lv, budget)")
     groups = spark.sql(f"SELECT grp AS `group`, lv AS level, d AS detailed_only, c AS coarse_only FROM {KINDS_OF} AS k(grp, lv, d, c)")
     domain = characteristics.population_domain(regions, groups, plan)
-    return characteristics.planned_tabulation(persons, {"USA": "USA", "STATE": "STATE", "COUNTY": "COUNTY"}, domain, SEXES, noisy=False)
+    return characteristics.planned_tabulation(persons, {"USA": "USA", "STATE": "STATE", "COUNTY": "COUNTY"}, domain, SEXES, kind=kind, noisy=noisy)
 
 
 @query(f"{PLANNED} SELECT REGION_TYPE, REGION_ID, grp, total AS COUNT FROM n WHERE totals_only UNION ALL SELECT REGION_TYPE, REGION_ID, grp, total FROM t")
@@ -1019,6 +1171,44 @@ def planned_tables(spark, d):
     return planned(spark, d)[1]
 
 
+def nested_sql() -> str:
+    """(level, table, sex, low, high) of each level's nested cells: of two tables with one bin the coarser has it."""
+    out, seen = [], set()
+    for at, edges in tabulate.AGE_EDGES.items():
+        bins = [b for b in zip([0, *edges], [*[e - 1 for e in edges], tabulate.LAST_AGE], strict=True) if b not in seen]
+        seen |= set(bins)
+        out += [f"({level}, {at}, '{s}', {a}, {b})" for level in tabulate.AGE_EDGES if level >= at for s in SEXES for a, b in bins]
+    return ", ".join(out)
+
+
+TARGETS = f"""WITH {LEVELS}, b(level, at, sex, low, high) AS (VALUES {nested_sql()}),
+x AS (SELECT t.REGION_TYPE, t.REGION_ID, t.grp, t.level, q.sex, q.age FROM q JOIN t ON q.REGION_TYPE = t.REGION_TYPE AND q.REGION_ID = t.REGION_ID AND q.grp = t.grp),
+c AS (SELECT t.REGION_TYPE, t.REGION_ID, t.grp, b.sex, b.low, b.high, count(x.age) AS count FROM t JOIN b ON t.level = b.level
+      LEFT JOIN x ON x.REGION_TYPE = t.REGION_TYPE AND x.REGION_ID = t.REGION_ID AND x.grp = t.grp AND x.sex = b.sex AND x.age BETWEEN b.low AND b.high GROUP BY ALL)"""
+
+
+def targets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    p = people(spark, d)
+    return tabulate.target_cells(p, tabulate.levels(p, GROUPS, THRESHOLDS), GROUPS, SEXES)
+
+
+@query(f"""{TARGETS} SELECT REGION_TYPE, REGION_ID, grp, sex, CAST(low AS VARCHAR) AS low, CAST(high AS VARCHAR) AS high, count FROM c
+UNION ALL SELECT t.REGION_TYPE, t.REGION_ID, t.grp, s.sex, '*', '*', count(x.age) FROM t CROSS JOIN (VALUES ('O'), ('F'), ('P')) s(sex) LEFT JOIN x ON x.REGION_TYPE = t.REGION_TYPE AND x.REGION_ID = t.REGION_ID AND x.grp = t.grp AND x.sex = s.sex WHERE t.level > 0 GROUP BY ALL""")
+def target_cells(spark, d):
+    return targets(spark, d)[1]
+
+
+@query(f"WITH {LEVELS} SELECT REGION_TYPE, REGION_ID, grp, total AS COUNT FROM t")
+def target_totals(spark, d):
+    return targets(spark, d)[0]
+
+
+@query()
+def planned_totals_rho(spark, d):
+    """The planned run with rho budgets: each group's total with Gaussian noise for its own budget."""
+    return planned(spark, d, "zcdp", True)[0]
+
+
 @query(f"WITH {LONG}, r AS (SELECT * FROM q WHERE sex <> 'P'), t AS (SELECT REGION_TYPE, REGION_ID, grp, count(*) AS n FROM r GROUP BY ALL) SELECT REGION_TYPE, REGION_ID, grp, CAST(n >= 100 AS INTEGER) + CAST(n >= 400 AS INTEGER) + CAST(n >= 2000 AS INTEGER) AS STAT_LEVEL FROM t")
 def published_levels(spark, d):
     p = people(spark, d).filter("sex <> 'P'")

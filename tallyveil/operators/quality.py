@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import staged
+from .prefix import prefix_sums, ranged, same
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -79,6 +83,24 @@ class Splits(Rule):
         return F.element_at(F.array(*map(F.lit, self.edges)), (code + 1).cast("int"))
 
 
+@dataclass(frozen=True)
+class OneOf(Rule):
+    """One of the codes in the first column of a table of any size, compared as text.
+
+    Reports count a column's values first, so they meet the table once each.
+    Where rows themselves are wanted, `marked` gives them the rule's mark.
+    """
+
+    codes: DataFrame
+
+    @property
+    def mark(self) -> str:
+        return f"__ok_{self.column}"
+
+    def valid(self) -> Column:
+        return F.col(f"`{self.mark}`")
+
+
 @dataclass(frozen=True)
 class Values(Rule):
     """One of listed values."""
@@ -96,18 +118,73 @@ class Values(Rule):
 
 
 def column_problems(df: DataFrame, rules: Sequence[Rule], unexpected: str = "error", ordered: bool = False) -> list[str]:
-    """What is wrong with the columns themselves; unexpected ones are an error, or ignored."""
+    """What is wrong with the columns themselves; unexpected ones are an error, a warning ("warn"), or ignored ("ignore")."""
+    if unexpected not in ("error", "warn", "ignore"):
+        raise ValueError(f"unexpected columns are no {unexpected}")
     names, out = [r.column for r in rules], []
     out += [f"missing column {c}" for c in names if c not in df.columns]
+    more = [f"unexpected column {c}" for c in df.columns if c not in names]
     if unexpected == "error":
-        out += [f"unexpected column {c}" for c in df.columns if c not in names]
+        out += more
+    elif unexpected == "warn" and more:
+        warnings.warn("; ".join(more), stacklevel=2)
     if ordered and not out and [c for c in df.columns if c in names] != names:
         out.append("columns are not in order")
     return out
 
 
+#: Values up to which a table of invalid ones is broadcast to mark rows.
+MOST_BROADCAST = 500_000
+
+
+def invalid_values(df: DataFrame, rules: Sequence[OneOf]) -> DataFrame:
+    """column, value, n: a column's values that its table of codes hasn't (null among them), and their rows.
+
+    All columns are counted in one pass; a value that a third of all rows have
+    is one count for each task, and meets the codes once.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(r.column).alias("column"), F.col(f"`{r.column}`").cast("string").alias("value")) for r in rules]))
+    counted = df.select(pairs.alias("p")).select("p.*").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    codes = reduce(DataFrame.unionByName, [r.codes.select(F.lit(r.column).alias("column"), F.col(f"`{r.codes.columns[0]}`").cast("string").alias("value")) for r in rules]).distinct()
+    return counted.join(codes, ["column", "value"], "left_anti")
+
+
+def marked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """df with the mark of every `OneOf`, by a join with the invalid values only."""
+    tables = [r for r in rules if isinstance(r, OneOf)]
+    if not tables:
+        return df
+    bad = staged(invalid_values(df, tables).filter("value IS NOT NULL"), "invalid-values")
+    for r in tables:
+        own = bad.filter(F.col("column") == r.column).select(F.col("value").alias("__bad"))
+        side = F.broadcast(own) if own.count() <= MOST_BROADCAST else own
+        both = df.join(side, F.col(f"`{r.column}`").cast("string") == F.col("__bad"), "left")
+        df = both.withColumn(r.mark, F.col("__bad").isNull() & F.col(f"`{r.column}`").isNotNull()).drop("__bad")
+    return df
+
+
 def rule_report(df: DataFrame, rules: Sequence[Rule], shown: int = 10) -> DataFrame:
-    """A row for each rule: column, checked, invalid, examples (the first invalid values as text); one scan for all."""
+    """A row for each rule: column, checked, invalid, examples (the first invalid values as text).
+
+    One scan for all rules but those of code tables, and one for all of these.
+    """
+    tables, rules = [r for r in rules if isinstance(r, OneOf)], [r for r in rules if not isinstance(r, OneOf)]
+    parts = ([_rule_report(df, rules, shown)] if rules else []) + ([_table_report(df, tables, shown)] if tables else [])
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _table_report(df: DataFrame, rules: Sequence[OneOf], shown: int) -> DataFrame:
+    bad = staged(invalid_values(df, rules), "invalid-values")
+    named = bad.withColumn("value", F.coalesce("value", F.lit("null")))
+    first = named.withColumn("at", F.row_number().over(Window.partitionBy("column").orderBy("value"))).filter(F.col("at") <= shown)
+    examples = first.groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("examples"))
+    counts = bad.groupBy("column").agg(F.sum("n").alias("invalid"))
+    every = df.agg(F.count(F.lit(1)).alias("checked")).select(F.explode(F.array(*[F.lit(r.column) for r in rules])).alias("column"), "checked")
+    both = every.join(counts, "column", "left").join(examples, "column", "left")
+    return both.select("column", "checked", F.coalesce("invalid", F.lit(0)).cast("long").alias("invalid"), F.coalesce("examples", F.lit("")).alias("examples"))
+
+
+def _rule_report(df: DataFrame, rules: Sequence[Rule], shown: int) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, r in enumerate(rules):
         aggs.append(F.count_if(~r.holds()).alias(f"bad{i}"))
@@ -121,12 +198,14 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], shown: int = 10) -> DataFr
 
 def validated(df: DataFrame, rules: Sequence[Rule], strategy: str = "error") -> DataFrame:
     """Out-of-bounds values: an error, their rows removed, or clipped."""
+    columns = df.columns
     if strategy == "remove":
-        return df.filter(reduce(Column.__and__, [r.holds() for r in rules]))
+        return marked(df, rules).filter(reduce(Column.__and__, [r.holds() for r in rules])).select(*[F.col(f"`{c}`") for c in columns])
     if strategy == "clip":
         return df.withColumns({r.column: r.clipped() for r in rules})
     if strategy == "error":
-        if not df.filter(~reduce(Column.__and__, [r.holds() for r in rules])).isEmpty():
+        plain, tables = [r for r in rules if not isinstance(r, OneOf)], [r for r in rules if isinstance(r, OneOf)]
+        if (plain and not df.filter(~reduce(Column.__and__, [r.holds() for r in plain])).isEmpty()) or (tables and not invalid_values(df, tables).isEmpty()):
             raise ValueError("values are out of bounds")
         return df
     raise ValueError(f"no strategy {strategy}")
@@ -155,12 +234,10 @@ def cell_codes(index: Column, sizes: Sequence[int]) -> list[Column]:
     return out[::-1]
 
 
-def rules_from_codes(codes: DataFrame, column: str, rule_column: str, most: int = 100_000) -> Values:
-    """A value rule from a code table of bounded size."""
+def rules_from_codes(codes: DataFrame, column: str, rule_column: str, most: int = 1_000) -> Values | OneOf:
+    """A rule from a code table: listed values while they are few, the table itself beyond."""
     found = [r[0] for r in codes.select(column).dropna().distinct().orderBy(column).limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} codes; join with the table instead")
-    return Values(rule_column, tuple(found))
+    return Values(rule_column, tuple(found)) if len(found) <= most else OneOf(rule_column, codes.select(column).dropna())
 
 
 def gaps_in_codes(df: DataFrame, columns: Sequence[str], none: str = "Null") -> DataFrame:
@@ -191,12 +268,22 @@ def outside_states(df: DataFrame, states: Sequence[str], region: str = "REGION_I
 
 
 def merged_ranges(ranges: DataFrame, group: Sequence[str], low: str = "low", high: str = "high") -> DataFrame:
-    """Overlapping or adjacent whole-number ranges of a field become one; equal ranges merge before they meet in a task."""
-    ranges = ranges.select(*group, low, high).distinct()
-    w = Window.partitionBy(*group).orderBy(low, high)
-    top = F.max(high).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = ranges.withColumn("__new", F.when(F.col(low) > top + 1, 1).otherwise(0))
-    return fresh.withColumn("__at", F.sum("__new").over(w)).groupBy(*group, "__at").agg(F.min(low).alias(low), F.max(high).alias(high)).drop("__at")
+    """Overlapping or adjacent whole-number ranges of a field become one.
+
+    Different ranges of a field are cut into spans by their low ends. The
+    highest end before a range is a running maximum inside its span, or what
+    the spans before it reach; so a window holds a span, or one row for each span.
+    """
+    different = staged(ranges.select(*group, low, high).distinct(), "ranges")
+    cut = ranged(different, group, low)
+    inside = Window.partitionBy(*group, "span").orderBy(low, high).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    reached = cut.groupBy(*group, "span").agg(F.max(high).alias("__end")).withColumn("__carried", F.max("__end").over(before)).drop("__end")
+    both = cut.withColumn("__own", F.max(high).over(inside)).alias("c").join(reached.alias("r"), same("c", "r", [*group, "span"]))
+    top = F.greatest("c.__own", "r.__carried")
+    fresh = both.select(*[F.col(f"c.`{c}`") for c in cut.columns], F.when(F.col(f"c.`{low}`") > top + 1, 1).otherwise(0).alias("__new"))
+    placed = prefix_sums(staged(fresh, "range-starts"), list(group), "span", [low, high], "__new", "__at")
+    return placed.groupBy(*group, "__at").agg(F.min(low).alias(low), F.max(high).alias(high)).drop("__at")
 
 
 def output_problems(df: DataFrame, rules: Sequence[Rule], states: Sequence[str], count_column: str = "COUNT", negatives: bool = False, region: str = "REGION_ID", kind: str = "REGION_TYPE", exempt: Sequence[str] = ("USA", "AIANNH")) -> DataFrame:
@@ -252,12 +339,18 @@ def phased_problems(tables: dict[str, DataFrame], prior: dict[str, Sequence[Rule
 
     1. Rules that are known beforehand. 2. Rules made anew from the code tables
     that passed. 3. Checks between tables. Only the first phase that finds
-    anything reports, as later ones rely on those before; each phase is one job.
+    anything reports, as later ones rely on those before. A phase's report is
+    written once; a phase without rules or checks finds nothing.
     """
+    spark = next(iter(tables.values())).sparkSession
 
     def of_rules(phase: int, rules: dict[str, Sequence[Rule]]) -> DataFrame:
         reports = [rule_report(tables[t], own, 0).select(F.lit(phase).alias("phase"), F.concat(F.lit(f"{t}."), "column").alias("problem"), F.col("invalid").alias("rows")) for t, own in rules.items()]
-        return reduce(DataFrame.unionByName, reports).filter("rows > 0")
+        return found(reports)
+
+    def found(reports: list[DataFrame]) -> DataFrame:
+        nothing = spark.createDataFrame([], "phase int, problem string, rows long")
+        return staged(reduce(DataFrame.unionByName, reports).filter("rows > 0"), "problems") if reports else nothing
 
     missing = sorted(set(prior) - set(tables))
     if missing:
@@ -268,4 +361,4 @@ def phased_problems(tables: dict[str, DataFrame], prior: dict[str, Sequence[Rule
     second = of_rules(2, rebuilt(tables))
     if not second.isEmpty():
         return second
-    return reduce(DataFrame.unionByName, [c.broken(tables).agg(F.lit(3).alias("phase"), F.lit(c.name).alias("problem"), F.count(F.lit(1)).alias("rows")) for c in checks]).filter("rows > 0")
+    return found([c.broken(tables).agg(F.lit(3).alias("phase"), F.lit(c.name).alias("problem"), F.count(F.lit(1)).alias("rows")) for c in checks])

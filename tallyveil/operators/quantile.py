@@ -8,43 +8,30 @@ and the winning gap is one maximum for each key.
 from __future__ import annotations
 
 import math
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import staged
 from .noise import uniform
-
-#: Ranges of a group's values, cut so that each holds about as many different ones.
-RANGES = 64
-#: Groups up to which their cuts are broadcast (about half a kilobyte each).
-MOST_BROADCAST = 50_000
-
-
-def _ranged(counted: DataFrame, on: list[str]) -> DataFrame:
-    """counted with span, the range that v lies in; cut by the values of each key, so that values which cluster spread over ranges too."""
-    cuts = counted.groupBy(*on).agg(F.percentile_approx("v", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(10_000)).alias("cuts"))
-    if not on:
-        both = counted.crossJoin(F.broadcast(cuts))
-    else:
-        c, k = counted.alias("c"), (F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST else cuts).alias("k")
-        same = reduce(Column.__and__, [F.col(f"c.`{n}`").eqNullSafe(F.col(f"k.`{n}`")) for n in on])
-        both = c.join(k, same).select(*[F.col(f"c.`{n}`") for n in counted.columns], "cuts")
-    return both.withColumn("span", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
+from .prefix import prefix_sums, ranged, same
 
 
 def gaps(df: DataFrame, column: str, low: float, high: float, keys: DataFrame | None = None) -> DataFrame:
     """Gaps of each key: left, right, rank (values below the right edge), n (all values).
 
     Edges are low, the distinct clamped values strictly between, and high. A
-    key without values has the one gap (low, high) with rank 0.
+    key without values has the one gap (low, high) with rank 0, and so has a
+    table without values where there are no keys. Equal values merge into a
+    table that is written once; all later steps read it, not df.
     """
     on = keys.columns if keys is not None else []
     value = F.col(column).cast("double")
     clean = df.filter(value.isNotNull() & ~F.isnan(value)).select(*on, F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))).alias("v"))
-    counted = clean.groupBy(*on, "v").agg(F.count(F.lit(1)).alias("m"))
-    counted = _ranged(counted, on)
+    counted = staged(clean.groupBy(*on, "v").agg(F.count(F.lit(1)).alias("m")), "counted-values")
+    counted = ranged(counted, on, "v")
     spans = counted.groupBy(*on, "span").agg(F.sum("m").alias("held"), F.max("v").alias("top"))
     per_key = Window.partitionBy(*on)
     earlier = per_key.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,14 +49,15 @@ def gaps(df: DataFrame, column: str, low: float, high: float, keys: DataFrame |
     last = ranked.groupBy(*on).agg(F.max(F.when(F.col("v") < high, F.col("v"))).alias("left"), F.coalesce(F.sum(F.when(F.col("v") < high, F.col("m"))), F.lit(0)).alias("rank"), F.first("n").alias("n"))
     last = last.select(*on, F.coalesce("left", F.lit(float(low))).alias("left"), F.lit(float(high)).alias("right"), "rank", "n")
     out = upto.unionByName(last)
-    if keys is None:
-        return out.filter("n IS NOT NULL")
+    filled = {"left": float(low), "right": float(high), "rank": 0, "n": 0}
+    if not on:
+        one = df.sparkSession.range(1).select(F.lit(True).alias("__one"))
+        return one.join(out.filter("n IS NOT NULL").withColumn("__one", F.lit(True)), "__one", "left").select(*[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in filled.items()])
     k, o = keys.distinct().alias("k"), out.alias("o")
     same = None
     for name in on:
         one = F.col(f"k.{name}").eqNullSafe(F.col(f"o.{name}"))
         same = one if same is None else same & one
-    filled = {"left": float(low), "right": float(high), "rank": 0, "n": 0}
     return k.join(o, same, "left").select(*[F.col(f"k.{name}") for name in on], *[F.coalesce(F.col(f"o.{c}"), F.lit(v)).alias(c) for c, v in filled.items()])
 
 
@@ -97,3 +85,22 @@ def quantile(df: DataFrame, column: str, quantile: float, low: float, high: floa
     on = keys.columns if keys is not None else []
     name = name or f"{column}_quantile({quantile})"
     return quantile_gap(df, column, quantile, low, high, keys, epsilon).select(*on, (F.col("left") + uniform(F.col("left")) * (F.col("right") - F.col("left"))).alias(name))
+
+
+def exact_quantile(df: DataFrame, by: Sequence[str], value: Column, quantile: float, name: str) -> DataFrame:
+    """by, name: the exact quantile of a value that isn't null, interpolated between the two ranks next to it.
+
+    Values are counted, ranks are running counts inside value ranges, and of
+    each class only the two wanted ranks are looked up: no task holds a class.
+    """
+    counted = df.select(*by, value.cast("double").alias("v")).filter("v IS NOT NULL").groupBy(*by, "v").agg(F.count(F.lit(1)).alias("m"))
+    counted = staged(counted, "counted-values")
+    up = prefix_sums(ranged(counted, by, "v"), list(by), "span", ["v"], "m", "up")
+    sizes = counted.groupBy(*by).agg(F.sum("m").alias("n"))
+    u, s = up.alias("u"), sizes.alias("s")
+    at = F.lit(quantile) * (F.col("s.n") - 1)
+    held = lambda rank: (rank >= F.col("u.up") - F.col("u.m")) & (rank < F.col("u.up"))
+    both = u.join(s, same("u", "s", by)) if by else u.crossJoin(s)
+    near = both.filter(held(F.floor(at)) | held(F.ceil(at))).select(*[F.col(f"u.`{c}`").alias(c) for c in by], F.when(held(F.floor(at)), F.col("u.v")).alias("a"), F.when(held(F.ceil(at)), F.col("u.v")).alias("b"), (at - F.floor(at)).alias("part"))
+    ends = near.groupBy(*by).agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("part").alias("part"))
+    return ends.select(*by, (F.col("a") * (1 - F.col("part")) + F.col("b") * F.col("part")).alias(name))

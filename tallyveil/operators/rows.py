@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from .prefix import copy_numbers
 
 
 def select(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,10 +66,10 @@ def grouping_flat_map(df: DataFrame, groups: Column, most: int, name: str) -> Da
 
 
 def unique_id(df: DataFrame, name: str) -> DataFrame:
-    """An id from a row's values and its number among equal rows."""
+    """An id from a row's values and its number among equal rows, which are numbered in parts."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    number = F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(1)))
-    return df.withColumn(name, F.hex(F.to_json(F.array(*[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cols], number.cast("string")))))
+    numbered = copy_numbers(df, df.columns, "__copy")
+    return numbered.withColumn(name, F.hex(F.to_json(F.array(*[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cols], F.col("__copy").cast("string"))))).drop("__copy")
 
 
 def digitize(value: Column, edges: Sequence[float]) -> Column:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import aggregates, joins, quantile, rows, special, truncate
 from ..operators.bins import Bins
@@ -31,14 +32,39 @@ class State:
     ident: str | None = None
 
     def to(self, df: DataFrame, by: float = 1, grouping: str | None = None) -> State:
-        if self.ident and self.ident not in df.columns:
-            raise ValueError(f"the id column {self.ident} must stay")
+        for column in self.fixed:
+            if column not in df.columns:
+                raise ValueError(f"the column {column} must stay")
         return replace(self, df=df, reach=self.reach * (1 if self.ident else by), grouping=grouping or self.grouping)
 
+    @property
+    def fixed(self) -> list[str]:
+        """The columns that a unit of change is told by; no step may assign them."""
+        return [c for c in (self.ident, self.grouping) if c]
+
+    def without(self, columns) -> None:
+        for column in self.fixed:
+            if column in columns:
+                raise ValueError(f"the column {column} can't be changed")
+
     def public(self, table: str | DataFrame) -> DataFrame:
         return self.session.public[table] if isinstance(table, str) else table
 
 
+def _checked(function: Callable[[dict], list[dict]], fixed: list[str], first: bool = False) -> Callable:
+    """A function of rows that stops where a fixed column comes back changed; first: gives the only row itself."""
+
+    def run(row: dict) -> list[dict] | dict:
+        out = function(row)
+        for made in out:
+            for column in fixed:
+                if column in made and made[column] != row[column]:
+                    raise ValueError(f"the column {column} can't be changed")
+        return out[0] if first else out
+
+    return run
+
+
 @dataclass(frozen=True)
 class Query:
     """Steps from a private table."""
@@ -85,31 +111,54 @@ class Query:
     def filter(self, predicate: str) -> Query:
         return self._rows(lambda df: rows.where(df, predicate))
 
+    def _assigned(self, names: Sequence[str], change: Callable[[DataFrame], DataFrame], by: float = 1, grouping: str | None = None) -> Query:
+        """A step that gives columns new values."""
+
+        def step(s: State) -> State:
+            s.without(names)
+            return s.to(change(s.df), by, grouping)
+
+        return self.then(step)
+
+    def _by_rows(self, change: Callable[[State], DataFrame], by: float = 1) -> Query:
+        return self.then(lambda s: s.to(change(s), by))
+
     def map(self, columns: dict[str, Column], augment: bool = False) -> Query:
-        return self._rows(lambda df: rows.map_columns(df, columns, augment))
+        """Columns by expressions; an id or grouping column may only be taken over as it is."""
+        return self._assigned([c for c, v in columns.items() if str(v) != str(F.col(c))], lambda df: rows.map_columns(df, columns, augment))
 
     def map_rows(self, function: Callable[[dict], dict], schema: str) -> Query:
-        return self._rows(lambda df: rows.map_rows(df, function, schema))
+        """A Python function of each row; it must give an id or grouping column back as it was."""
+        return self._by_rows(lambda s: rows.map_rows(s.df, _checked(lambda row: [function(row)], s.fixed, first=True), schema))
 
     def flat_map(self, values: Column, most: int, name: str, augment: bool = True) -> Query:
-        return self._rows(lambda df: rows.flat_map(df, values, most, name, augment), most)
+        return self._assigned([name], lambda df: rows.flat_map(df, values, most, name, augment), most)
 
     def flat_map_rows(self, function: Callable[[dict], list[dict]], most: int, schema: str) -> Query:
-        return self._rows(lambda df: rows.flat_map_rows(df, function, most, schema), most)
+        """As `map_rows`, with any number of rows, of which `most` stay."""
+        return self._by_rows(lambda s: rows.flat_map_rows(s.df, _checked(function, s.fixed), most, schema), most)
 
     def grouping_flat_map(self, values: Column, most: int, name: str) -> Query:
-        return self.then(lambda s: s.to(rows.grouping_flat_map(s.df, values, most, name), most, name))
+        return self._assigned([name], lambda df: rows.grouping_flat_map(df, values, most, name), most, name)
 
     def bin_column(self, column: str, bins: Bins, name: str | None = None) -> Query:
-        from pyspark.sql import functions as F
+        name = name or f"{column}_binned"
+        return self._assigned([name], lambda df: df.withColumn(name, bins.column(F.col(column), dict(df.dtypes)[column] in special.FLOATS)))
 
-        return self._rows(lambda df: df.withColumn(name or f"{column}_binned", bins.column(F.col(column), dict(df.dtypes)[column] in special.FLOATS)))
+    def _replaced(self, values: dict | None, change: Callable, defaults: Callable[[DataFrame], dict]) -> Query:
+        def step(s: State) -> State:
+            s.without(values or ())
+            own = values or {c: v for c, v in defaults(s.df).items() if c not in s.fixed}
+            return s.to(change(s.df, own) if own else s.df)
+
+        return self.then(step)
 
     def replace_null_and_nan(self, values: dict[str, object] | None = None) -> Query:
-        return self._rows(lambda df: special.replace_null_and_nan(df, values))
+        """Without values, the default of each type in all columns but an id or grouping column."""
+        return self._replaced(values, special.replace_null_and_nan, lambda df: {c: special.DEFAULTS[k] for c, k in df.dtypes if k in special.DEFAULTS})
 
     def replace_infinity(self, values: dict[str, tuple[float, float]] | None = None) -> Query:
-        return self._rows(lambda df: special.replace_infinity(df, values))
+        return self._replaced(values, special.replace_infinity, lambda df: {c: (0.0, 0.0) for c, k in df.dtypes if k in special.FLOATS})
 
     def drop_null_and_nan(self, columns: Sequence[str] | None = None) -> Query:
         return self._rows(lambda df: special.drop_null_and_nan(df, columns))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quantile import exact_quantile
+
 
 def paired(noisy: DataFrame, exact: DataFrame, keys: Sequence[str], value: str = "count") -> DataFrame:
     """Noisy rows with the exact value beside, zero where there is none."""
@@ -28,7 +30,7 @@ def size_decade(size: Column) -> Column:
 
 def margin_of_error(trials: DataFrame, by: Sequence[str], quantile: float = 0.95) -> DataFrame:
     """A quantile of the absolute error, with linear interpolation, for each class of groups."""
-    return trials.groupBy(*by).agg(F.percentile(F.abs(F.col("noisy") - F.col("exact")).cast("double"), F.lit(quantile)).alias("margin"))
+    return exact_quantile(trials, by, F.abs(F.col("noisy") - F.col("exact")), quantile, "margin")
 
 
 def proportions(df: DataFrame, by: Sequence[str], column: str, values: Sequence) -> DataFrame:

@@ -11,11 +11,14 @@ from ..operators.aggregates import _exact, count
 from ..operators.keys import keyed
 from ..operators.noise import not_negative, suppressed, suppression_threshold
 from ..operators.rows import digitize
+from ..scratch import staged
 
 #: Age edges of each level's table; level 0 has the total only.
 AGE_EDGES = {1: (18, 45, 65), 2: (5, 18, 25, 35, 45, 55, 65, 75), 3: (5, 10, 15, 18, 20, 21, 22, 25, 30, 35, 40, 45, 50, 55, 60, 62, 65, 67, 70, 75, 80, 85)}
 LAST_AGE = 115
 ALL = "*"
+#: Groups up to which their levels are broadcast to the rows; beyond, adaptive execution splits hot groups of the join.
+MOST_BROADCAST = 500_000
 
 
 def expand_codes(df: DataFrame, key: str, short: str, codes: DataFrame, code: str) -> DataFrame:
@@ -83,9 +86,10 @@ def _low(level: Column, age: Column) -> Column:
 
 def adaptive_cells(persons: DataFrame, levelled: DataFrame, groups: Sequence[str], sexes: Sequence[str], sex: str = "sex", age: str = "age", noise: Callable = _exact) -> DataFrame:
     """Second stage: counts of every cell of every group's own table, empty cells included, in one aggregation."""
-    own = levelled.select(*groups, "level")
+    own = staged(levelled.select(*groups, "level"), "levels")
+    few = own.count() <= MOST_BROADCAST
     cells = own.select(*groups, "level", F.explode(_cells(F.col("level"), sexes)).alias("c")).select(*groups, "c.*")
-    placed = persons.join(own, list(groups)).select(*groups, F.when(F.col("level") == 0, F.lit(ALL)).otherwise(F.col(sex)).alias("sex"), _low(F.col("level"), F.col(age)).alias("low"))
+    placed = persons.join(F.broadcast(own) if few else own, list(groups)).select(*groups, F.when(F.col("level") == 0, F.lit(ALL)).otherwise(F.col(sex)).alias("sex"), _low(F.col("level"), F.col(age)).alias("low"))
     counts = keyed(placed, cells.select(*groups, "sex", "low"), {"count": 0}, F.count(F.lit(1)).alias("count"))
     out = cells.join(counts, [*groups, "sex", "low"])
     return out.withColumn("count", noise(F.col("count"), 1, "INTEGER"))
@@ -103,10 +107,60 @@ def with_marginals(cells: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def exact_cells(persons: DataFrame, levelled: DataFrame, groups: Sequence[str], sexes: Sequence[str]) -> DataFrame:
-    """Exact counts, zeros included, of the cells that an earlier run chose."""
+    """Exact counts, zeros included, of the cells of each group's own level."""
     return adaptive_cells(persons, levelled, groups, sexes)
 
 
+def nested_cells(level: Column, sexes: Sequence[str]) -> Column:
+    """The (sex, table, low, high) cells of a level's table and of all coarser ones; a bin that a coarser table of the level has is left out of the finer."""
+    out, seen = F.array().cast("array<struct<sex:string,table:int,low:int,high:int>>"), set()
+    for at, edges in AGE_EDGES.items():
+        bins = [(a, b) for a, b in zip((0, *edges), (*[e - 1 for e in edges], LAST_AGE), strict=True) if (a, b) not in seen]
+        seen |= set(bins)
+        cells = F.array(*[F.struct(F.lit(s).alias("sex"), F.lit(at).alias("table"), F.lit(a).alias("low"), F.lit(b).alias("high")) for s in sexes for a, b in bins])
+        out = F.when(level >= at, F.concat(out, cells)).otherwise(out)
+    return out
+
+
+def _table_of_level(level: Column, age: Column) -> Column:
+    """For an age the (table, low) of each nested bin that it lies in, down to the level."""
+    out, seen = [], set()
+    for at, edges in AGE_EDGES.items():
+        bins = list(zip((0, *edges), (*[e - 1 for e in edges], LAST_AGE), strict=True))
+        new = [a for a, b in bins if (a, b) not in seen]
+        seen |= set(bins)
+        low = F.element_at(F.array(*[F.lit(a) for a, _ in bins]), digitize(age, edges) + 1)
+        out.append(F.when((level >= at) & low.isin(new), F.struct(F.lit(at).alias("table"), low.alias("low"))))
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+
+def target_cells(persons: DataFrame, levelled: DataFrame, groups: Sequence[str], sexes: Sequence[str], sex: str = "sex", age: str = "age") -> tuple[DataFrame, DataFrame]:
+    """Exact counts for the levels that an earlier run published: (totals of all groups, cells).
+
+    levelled: groups with their level (see `characteristics.published_levels`).
+    Every group has a total. A group of level 1 or more has a row for each sex,
+    and the cells of its level's table and of all coarser tables, zeros
+    included, in one aggregation over persons; a bin of two tables counts once.
+    Rows: groups, sex, low, high (as text, `*` for all ages), count.
+    """
+    own = staged(levelled.select(*groups, F.col("level").cast("int").alias("level")), "levels")
+    few = own.count() <= MOST_BROADCAST
+    placed = persons.select(*groups, F.col(sex).alias("sex"), F.col(age).alias("age")).join(F.broadcast(own) if few else own, list(groups))
+    # one row of every person for its total, its sex and each of its bins
+    level = F.col("level")
+    fine = F.transform(_table_of_level(level, F.col("age")), lambda x: F.struct(F.col("sex").alias("sex"), x["table"].alias("table"), x["low"].alias("low")))
+    marks = F.array(F.struct(F.lit(ALL).alias("sex"), F.lit(0).alias("table"), F.lit(-1).alias("low")), F.when(level > 0, F.struct(F.col("sex").alias("sex"), F.lit(0).alias("table"), F.lit(-1).alias("low"))))
+    each = placed.select(*groups, F.explode(F.concat(F.filter(marks, lambda x: x.isNotNull()), fine)).alias("c")).select(*groups, "c.*")
+    counts = each.groupBy(*groups, "sex", "table", "low").agg(F.count(F.lit(1)).alias("count"))
+    whole = lambda s: F.struct(F.lit(s).alias("sex"), F.lit(0).alias("table"), F.lit(-1).alias("low"), F.lit(-1).alias("high"))
+    cells = F.concat(F.array(whole(ALL)), F.when(level > 0, F.array(*[whole(s) for s in sexes])).otherwise(F.array().cast("array<struct<sex:string,table:int,low:int,high:int>>")), nested_cells(level, sexes))
+    domain = own.select(*groups, F.explode(cells).alias("c")).select(*groups, "c.*")
+    full = keyed(counts, domain.select(*groups, "sex", "table", "low"), {"count": 0}, F.sum("count").alias("count")).join(domain, [*groups, "sex", "table", "low"])
+    ages = [F.when(F.col(c) < 0, F.lit(ALL)).otherwise(F.col(c).cast("string")).alias(c) for c in ("low", "high")]
+    rows = staged(full.select(*groups, "sex", *ages, "count"), "target-cells")
+    return rows.filter(F.col("sex") == ALL).select(*groups, F.col("count").alias("COUNT")), rows.filter(F.col("sex") != ALL)
+
+
 def workload(cells: DataFrame, groups: Sequence[str]) -> DataFrame:
     """The level of a group by the number of its published rows: 1, or sexes x bins with marginals."""
     n = F.count(F.lit(1))

@@ -113,6 +113,47 @@ def related_persons(unit: DataFrame, person: DataFrame, *, unit_key: str = "mafi
     return out.withColumn("related", F.when(F.col(size) >= 2, F.coalesce("related", F.lit(0))).otherwise(0).cast("long"))
 
 
+#: Relationships of persons who are family of a householder, the householder included; and the type of units that are households. Fixed values.
+FAMILY = ("20", "21", "23", "25", "26", "27", "28", "29", "30", "31", "32", "33")
+HOUSEHOLD = 2
+PERSON_COLUMNS = ("RTYPE", "MAFID", "QAGE", "CENHISP", "CENRACE", "RELSHIP")
+UNIT_COLUMNS = ("RTYPE", "MAFID", "FINAL_POP", "NPF", "HHSPAN", "HHRACE", "TEN", "HHT", "HHT2", "CPLT")
+PLACE_COLUMNS = ("RTYPE", "MAFID", "TABBLKST", "TABBLKCOU", "TABTRACTCE", "TABBLK", "TABBLKGRPCE", "REGIONCE", "DIVISIONCE", "PLACEFP", "AIANNHCE")
+
+
+def _upper(df: DataFrame) -> DataFrame:
+    return df.toDF(*[c.upper() for c in df.columns])
+
+
+def household_records(person: DataFrame, unit: DataFrame, *, family: Sequence[str] = FAMILY, household: int = HOUSEHOLD, columns: Sequence[str] | None = UNIT_COLUMNS) -> DataFrame:
+    """Units with what their persons say: upper-case names, NPF, whole numbers, and blank races as "00".
+
+    NPF: persons of family relationships in households (by RTYPE) of two or
+    more; one such person, none, and other units give 0. Persons are counted by
+    unit before they meet the units, so a large unit is one partial sum for each
+    task, and units are shuffled once, on their id. Spaces for HHSPAN are 0.
+    Persons without a unit count nowhere; units with a null id have no persons.
+    """
+    person, unit = _upper(person), _upper(unit)
+    number = lambda c: F.expr(f"try_cast(trim({c}) AS BIGINT)")
+    related = person.groupBy("MAFID").agg(F.sum(F.col("RELSHIP").isin(list(family)).cast("long")).alias("__n")).filter("__n > 1")
+    both = unit.withColumns({"FINAL_POP": number("CAST(FINAL_POP AS STRING)"), "HHSPAN": F.coalesce(number("CAST(HHSPAN AS STRING)"), F.lit(0).cast("long"))}).join(related, "MAFID", "left")
+    full = (F.col("FINAL_POP") >= 2) & (F.col("RTYPE").cast("int") == household)
+    out = both.withColumn("NPF", F.when(full, F.coalesce("__n", F.lit(0))).otherwise(0).cast("long")).withColumn("HHRACE", F.regexp_replace("HHRACE", r"^\s+$", "00")).drop("__n")
+    return out.select(*columns) if columns else out
+
+
+def household_persons(person: DataFrame, columns: Sequence[str] = PERSON_COLUMNS) -> DataFrame:
+    return _upper(person).select(*columns)
+
+
+def household_places(unit: DataFrame, geography: DataFrame, *, block: str = "OIDTB", place: str = "OIDTABBLK", columns: Sequence[str] = PLACE_COLUMNS) -> DataFrame:
+    """A row for each unit whose block the geography has, with the block's places."""
+    own = _upper(unit).select("RTYPE", "MAFID", F.col(block).cast("long").alias("__block"))
+    geo = _upper(geography).withColumn("__block", F.col(place).cast("long"))
+    return own.join(geo, "__block").select(*columns)
+
+
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a file with their place: a number that grows along the file. Files are read in order, so ids in order of partitions do."""
     return spark.read.text(path).withColumn("at", F.monotonically_increasing_id())

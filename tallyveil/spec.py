@@ -52,6 +52,17 @@ def coerced(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(SPARK[KINDS[type(f.dataType)]]).alias(f.name) for f in df.schema])
 
 
+def carries(before: DataFrame, after: DataFrame, column: str) -> bool:
+    """Whether a column of before is the very same attribute in after, not another one of its name."""
+    ids = [{a.exprId().id() for a in _attributes(df) if a.name() == column} for df in (before, after)]
+    return len(ids[1]) == 1 and ids[1] <= ids[0]
+
+
+def _attributes(df: DataFrame) -> list:
+    output = df._jdf.queryExecution().analyzed().output()
+    return [output.apply(i) for i in range(output.size())]
+
+
 def spec_of(df: DataFrame, sensitivity: float = 1, grouping_column: str | None = None, id_column: str | None = None) -> TableSpec:
     """The spec of a coerced DataFrame: nulls where the schema has them, NaN and infinities in every double."""
     columns = {f.name: ColumnSpec(KINDS[type(f.dataType)], f.nullable, *[isinstance(f.dataType, (T.DoubleType, T.FloatType))] * 2) for f in df.schema}
