@@ -1181,7 +1181,7 @@ def nested_sql() -> str:
     return ", ".join(out)
 
 
-TARGETS = f"""WITH {LEVELS}, b(level, at, sex, low, high) AS (VALUES {nested_sql()}),
+TARGETS = f"""WITH {LEVELS}, b(level, tab, sex, low, high) AS (VALUES {nested_sql()}),
 x AS (SELECT t.REGION_TYPE, t.REGION_ID, t.grp, t.level, q.sex, q.age FROM q JOIN t ON q.REGION_TYPE = t.REGION_TYPE AND q.REGION_ID = t.REGION_ID AND q.grp = t.grp),
 c AS (SELECT t.REGION_TYPE, t.REGION_ID, t.grp, b.sex, b.low, b.high, count(x.age) AS count FROM t JOIN b ON t.level = b.level
       LEFT JOIN x ON x.REGION_TYPE = t.REGION_TYPE AND x.REGION_ID = t.REGION_ID AND x.grp = t.grp AND x.sex = b.sex AND x.age BETWEEN b.low AND b.high GROUP BY ALL)"""
