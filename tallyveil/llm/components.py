@@ -26,16 +26,20 @@ def components(edges: DataFrame) -> DataFrame:
     first rounds. A node with many links is one partial minimum for each task.
     """
     left = staged(_ordered(edges), "links")
-    labels = left.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("root", F.col("node"))
-    while not left.isEmpty():
-        up = staged(left.groupBy("high").agg(F.min("low").alias("low")), "moves")
-        first, then = up.alias("x"), (F.broadcast(up) if up.count() <= MOST_BROADCAST else up).alias("y")
+    size = left.count()
+    labels = staged(left.select(F.explode(F.array("low", "high")).alias("node")).distinct().withColumn("root", F.col("node")), "labels", 2 * size)
+    nodes = labels.count()
+    while size:
+        up = staged(left.groupBy("high").agg(F.min("low").alias("low")), "moves", min(size, nodes))
+        moving = up.count()
+        first, then = up.alias("x"), (F.broadcast(up) if moving <= MOST_BROADCAST else up).alias("y")
         moves = first.join(then, F.col("x.low") == F.col("y.high"), "left").select(F.col("x.high").alias("at"), F.coalesce("y.low", "x.low").alias("to"))
-        moves = staged(moves, "moves")
-        if moves.count() <= MOST_BROADCAST:
+        moves = staged(moves, "moves", moving)
+        if moving <= MOST_BROADCAST:
             moves = F.broadcast(moves)
         highs = left.join(moves, left["high"] == moves["at"]).select("low", F.col("to").alias("b"))
         moved = highs.join(moves, highs["low"] == moves["at"], "left").select(F.coalesce("to", "low").alias("a"), "b")
-        left = staged(_ordered(moved), "links")
-        labels = staged(labels.join(moves, labels["root"] == moves["at"], "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+        left = staged(_ordered(moved), "links", size)
+        size = left.count()
+        labels = staged(labels.join(moves, labels["root"] == moves["at"], "left").select("node", F.coalesce("to", "root").alias("root")), "labels", nodes)
     return labels

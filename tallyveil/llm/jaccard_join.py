@@ -39,8 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.prefix import copy_numbers
 from .components import components
-from .scratch import staged
+from .scratch import batches_of, staged
 
 SALTS = 64
 #: Sizes up to which sets may count as small.
@@ -59,6 +60,8 @@ SLICE = 1_000_000
 REMEMBERED = 200_000
 #: Rows of candidates up to which they are broadcast to find their texts.
 MOST_BROADCAST = 500_000
+#: Rows, texts or sets, that pass to Python at a time.
+BATCH = 1_000
 
 U = np.uint64
 P = U(0x9E3779B97F4A7C15)
@@ -406,11 +409,12 @@ def _true_links(found: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
 def _placed(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFrame:
     """id, body, n_shingles, first (the row that stands for the component: its least id, of equal ids the least body; null ids come last), n_links."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
-    sets = staged(_sets(rows, join), "shingle-sets")
-    sizes = {r.s: r.n for r in sets.groupBy(F.least("n", F.lit(MOST_SMALL + 1)).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = boundary(join, sizes)
-    found = _staying(rows, sets, join, small)
-    links = _true_links(found, components(_shared_lists(found, join, small)), join)
+    with batches_of(docs.sparkSession, BATCH):  # every step with Python is written inside
+        sets = staged(_sets(rows, join), "shingle-sets")
+        sizes = {r.s: r.n for r in sets.groupBy(F.least("n", F.lit(MOST_SMALL + 1)).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        small = boundary(join, sizes)
+        found = _staying(rows, sets, join, small)
+        links = _true_links(found, components(_shared_lists(found, join, small)), join)
     roots = components(links.filter("b IS NOT NULL"))
     degree = links.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
     near = found.select("cls", "k").join(roots, F.col("k") == F.col("node")).join(degree, F.col("k") == F.col("a"), "left").select("cls", "root", "links")
@@ -455,7 +459,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"))
     kept = rows.alias("d").join(stay.alias("s"), F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.body") == F.col("s.body")), "left_semi")
     if not found.groupBy("id", "body").count().filter("count > 1").isEmpty():
-        kept = kept.withColumn("copy_no", F.row_number().over(Window.partitionBy("id", "body").orderBy("id"))).filter("copy_no = 1")
+        kept = copy_numbers(kept, ["id", "body"], "copy_no").filter("copy_no = 1")
     return kept.select("row.*")
 
 

@@ -1,34 +1,5 @@
 """Tables written once into the folder that the whole cluster shares."""
 
-from __future__ import annotations
+from ..scratch import batches_of, new_folder, shared_root, staged
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; a local folder only where the setting is unset and Spark runs in one process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return "/tmp/checkpoints"
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_root(spark)}/tallyveil/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back.
-
-    Later steps then start from files that outlive executors, and what is
-    costly or random in df happens once.
-    """
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["batches_of", "new_folder", "shared_root", "staged"]
