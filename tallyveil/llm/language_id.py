@@ -80,15 +80,41 @@ def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
+@dataclass
+class Logs:
+    """Log frequencies of keys by language, kept for the languages only in which a key occurs.
+
+    A key's frequency is smoothed by SMOOTH draws from all languages together.
+    Where it doesn't occur, its log is that of the smoothing less the log of
+    the language's size: the first part is the same for all languages and left
+    out, the second is one number for each kind of key (words, n-grams of one
+    length) and language. So memory grows with what was counted.
+    """
+
+    starts: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+    kinds: np.ndarray
+    sizes: np.ndarray
+
+    def add(self, total: np.ndarray, places: np.ndarray, weights: np.ndarray) -> None:
+        """Adds the keys' logs, by weight, to a total for each language."""
+        first = self.starts[places]
+        many = self.starts[places + 1] - first
+        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        total += np.bincount(self.langs[at], self.gains[at] * np.repeat(weights, many), len(total))
+        total -= np.bincount(self.kinds[places], weights, len(self.sizes)) @ self.sizes
+
+
 @dataclass
 class LanguageModel:
-    """Languages in order of code points, and log frequencies by language of known words and n-grams (place -> row of logs)."""
+    """Languages in order of code points, and log frequencies by language of known words and n-grams."""
 
     langs: list[str]
     words: dict[str, int]
-    word_logs: np.ndarray
+    word_logs: Logs
     grams: dict[str, int]
-    gram_logs: np.ndarray
+    gram_logs: Logs
 
     def unseen(self, word: str) -> list[int]:
         """At every place of the word between its marks the longest known n-gram; a place without any is left out."""
@@ -106,7 +132,7 @@ class LanguageModel:
         total = np.zeros(len(self.langs))
         known = [at for at in map(self.words.get, words) if at is not None]
         if known:
-            total += self.word_logs[known].sum(axis=0, dtype=float)
+            self.word_logs.add(total, np.array(known), np.ones(len(known)))
         if len(known) < len(words):
             places: list[int] = []
             weights: list[float] = []
@@ -115,7 +141,7 @@ class LanguageModel:
                 places += found
                 weights += [n / (len(word) + 2)] * len(found)
             if places:
-                total += np.array(weights) @ self.gram_logs[places].astype(float)
+                self.gram_logs.add(total, np.array(places), np.array(weights))
         return total
 
     def predict(self, texts: pd.Series) -> pd.DataFrame:
@@ -135,21 +161,38 @@ class LanguageModel:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_rows: int, most_characters: int) -> DataFrame:
-    """(lang, text) of rows chosen by a hash of the id, so many of each language that neither bound is expected to be passed."""
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("h")).dropna(subset=["lang", "text"])
+    """(lang, text) of rows chosen by a hash of id and text, so many of each language that neither bound is expected to be passed.
+
+    Rows that repeat both count once: they would be taken or left together.
+    """
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample")).alias("h")).dropna(subset=["lang", "text"])
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("characters"))
     share = F.least(F.lit(1.0), F.lit(most_rows) / F.col("rows"), F.lit(most_characters) / F.greatest("characters", F.lit(1)))
     shares = staged(sizes.select("lang", share.alias("share")), "language-shares")
-    return rows.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "text")
-
-
-def _log_frequencies(counts: DataFrame, key: str, langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """Keys of counts (key, lang, n), and a row of logs by language for each, smoothed by SMOOTH draws from all languages together."""
-    table = counts.groupBy(key).pivot("lang", langs).agg(F.sum("n")).toArrow() if langs else counts.select(key).limit(0).toArrow()
-    n = np.array([table.column(i + 1).fill_null(0).to_numpy() for i in range(len(langs))], dtype=float).reshape(len(langs), table.num_rows)
-    sums = n.sum(axis=1)
-    common = n.sum(axis=0) / max(1.0, sums.sum())
-    return table.column(0).to_pylist(), (np.log(n + SMOOTH * common) - np.log(sums + SMOOTH)[:, None]).T
+    taken = rows.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    return taken.dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
+def _log_frequencies(counts: DataFrame, key: str, langs: list[str], kind: Column, kinds: int) -> tuple[dict[str, int], Logs]:
+    """Places of the keys of counts (key, lang, n), and their logs; kind: from 0 to kinds - 1, keys of one kind share a language's size."""
+    at = {lang: i for i, lang in enumerate(langs)}
+    lists = counts.groupBy(key).agg(F.collect_list("lang").alias("langs"), F.collect_list("n").alias("n")).withColumn("kind", kind)
+    table = lists.select(key, "langs", "n", "kind").toArrow().combine_chunks()
+    keys = table.column(0).to_pylist()
+    own = table.column(1).combine_chunks()
+    coded = own.flatten().dictionary_encode()
+    codes = np.array([at[x] for x in coded.dictionary.to_pylist()], dtype=np.int32)
+    langs_of = codes[coded.indices.to_numpy(zero_copy_only=False)] if len(keys) else np.empty(0, np.int32)
+    n = table.column(2).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    many = np.diff(own.offsets.to_numpy()) if len(keys) else np.empty(0, np.int64)
+    kind_of = table.column(3).to_numpy().astype(np.int8)
+    owner = np.repeat(np.arange(len(keys)), many)
+    sums = np.zeros((kinds, len(langs)))
+    np.add.at(sums, (kind_of[owner], langs_of), n)
+    common = np.bincount(owner, n, len(keys)) / np.maximum(1.0, sums.sum(axis=1))[kind_of]
+    smoothing = SMOOTH * common[owner]
+    starts = np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+    return {k: i for i, k in enumerate(keys)}, Logs(starts, langs_of, np.log((n + smoothing) / smoothing).astype(np.float32), kind_of, np.log(sums + SMOOTH))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, most_rows: int = MOST_ROWS, most_characters: int = MOST_CHARACTERS) -> LanguageModel:
@@ -158,15 +201,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counted = rows.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = staged(counted, "word-counts")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    words, word_logs = _log_frequencies(counts, "word", langs)
+    words, word_logs = _log_frequencies(counts, "word", langs, F.lit(0), 1)
     grams = staged(counts.mapInPandas(_gram_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
-    known: list[str] = []
-    logs = []
-    for n in range(1, LONGEST + 1):
-        of_n, logs_of_n = _log_frequencies(grams.filter(F.length("gram") == n), "gram", langs)
-        known += of_n
-        logs.append(logs_of_n)
-    return LanguageModel(langs, {w: i for i, w in enumerate(words)}, word_logs.astype(np.float32), {g: i for i, g in enumerate(known)}, np.concatenate(logs).astype(np.float32))
+    known, gram_logs = _log_frequencies(grams, "gram", langs, F.length("gram") - 1, LONGEST)
+    return LanguageModel(langs, words, word_logs, known, gram_logs)
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
