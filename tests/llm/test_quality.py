@@ -1,7 +1,11 @@
+import math
+import re
+
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
-from tallyveil.llm.quality import bradley_terry, fit, good_documents, quality_scores, quantile_threshold
+from tallyveil.llm.quality import BUCKETS, bradley_terry, bucket_shares, fit, good_documents, quality_scores, quantile_threshold, scored
 
 DOCS = "doc_id long, text string, label int"
 LABELS = "doc_id long, quality int"
@@ -55,3 +59,56 @@ def test_nothing_to_learn(spark):
 def test_the_same_sample_at_every_run(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
     assert fit(docs, labels) == fit(docs.orderBy(F.rand()), labels.repartition(7))
+
+
+def plain_features(text):
+    """The features of a text, in plain Python."""
+    words = re.split(r"\s+", text.lower())
+    n, w = max(len(text), 1), max(len(words), 1)
+    share = lambda pattern: math.sqrt(sum(map(len, re.findall(pattern, text))) / n)
+    upper = math.sqrt(sum(c.isupper() for c in text) / n)
+    count = lambda mark: math.sqrt(text.count(mark) / w)
+    return {
+        "length": math.log1p(len(text)), "symbols": share(r"[#&$%*~^=<>{}\[\]\\_@+]"), "bars": count("|"), "capitals": upper, "shouts": count("!"), "digits": share("[0-9]"), "stops": count("."),
+        "commas": count(","), "distinct": math.log1p(len(set(words))) / math.log1p(w), "word_length": math.log1p(n / w),
+    }
+
+
+def plain_buckets(text):
+    words = re.split(r"\s+", text.lower())
+    out = [0.0] * BUCKETS
+    for x in words:
+        h = xxhash.xxh64(x.encode(), seed=42).intdigest()
+        out[(h - (1 << 64) if h >> 63 else h) % BUCKETS] += 1 / len(words)
+    return out
+
+
+def test_scores_against_plain_python(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.filter("text IS NOT NULL").select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "  A!b | Ünd 12,3.4  \n##"), (-2, ""), (-3, "one")], "doc_id long, text string"))
+    model = fit(docs, labels)
+    got = {r.doc_id: r.score for r in scored(docs, model).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) and any(model.words)
+    for doc_id, text in rows:
+        f = plain_features(text)
+        total = sum(model.weights[k] * f[k] for k in model.weights) + sum(a * b for a, b in zip(model.words, plain_buckets(text), strict=True))
+        assert abs(got[doc_id] - 1 / (1 + math.exp(-max(-700, min(700, total - model.threshold))))) < 1e-9, doc_id
+    shares = {r.id: r.shares for r in bucket_shares(docs.withColumnRenamed("doc_id", "id")).collect()}
+    assert all(np.allclose(shares[i], plain_buckets(t)) for i, t in rows)
+
+
+def test_a_labelled_id_with_many_copies(spark):
+    rows = [(i, ("Good words, in order. " if i % 2 else "BAD!! | ### ") * 9, 5) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], LABELS)
+    once, often = (fit(spark.createDataFrame(rows + [rows[3]] * n, DOCS), labels) for n in (0, 2000))
+    assert once == often
+
+
+def test_words_alone_can_tell(spark):
+    rng = np.random.default_rng(3)
+    good, bad = [f"g{i}" for i in range(30)], [f"b{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(good if i % 2 else bad, 25).tolist() + rng.choice(good + bad, 15).tolist()), 1) for i in range(300)]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, i % 2) for i in range(300)], LABELS)
+    out = quality_scores(docs, labels).filter("held_out").collect()
+    assert len(out) > 60 and sum(r.predicted == r.doc_id % 2 for r in out) / len(out) > 0.95
