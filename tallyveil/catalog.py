@@ -16,7 +16,7 @@ from .operators import aggregates, contributions, diff, joins, keys, noise, pref
 from .operators.bins import Bins
 from .plans import budget, characteristics, report, tabulate
 from .plans.builder import Query as Steps
-from .sources import readers, records
+from .sources import readers, records, sinks
 from .scratch import new_folder
 from .spec import ColumnSpec
 
@@ -695,6 +695,62 @@ def fixed_width_parse(spark, d):
     return readers.parse_fixed(table(spark, d, "customer").select(line.alias("value")), LAYOUT)
 
 
+@query("SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def delimited_scan(spark, d):
+    """Orders written as delimited text, read with a schema and a filter."""
+    folder = new_folder(spark, "orders-text")
+    sinks.write_delimited(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice")), folder)
+    return readers.delimited(spark, folder, "o_orderkey long, o_orderstatus string, o_totalprice double", only={"o_orderstatus": ["F"]})
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (1, 2, 7)")
+def state_files(spark, d):
+    """Customers in a folder for each nation, of which a list of states names three, one by another template."""
+    folder = new_folder(spark, "customers-text")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("st"))
+    c.write.partitionBy("st").option("header", True).option("sep", "|").csv(folder)
+    paths = readers.templated_paths(folder + "/st={state}", ["01", "02", "72"], {"72": folder + "/st=07"})
+    return readers.delimited(spark, paths, "c_custkey long, c_name string")
+
+
+@query("SELECT REGION_TYPE, REGION_ID, total FROM (SELECT 'STATE' AS REGION_TYPE, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS REGION_ID, count(*) AS total FROM customer GROUP BY ALL UNION ALL SELECT 'USA', '1', count(*) FROM customer) WHERE REGION_TYPE = 'USA' OR REGION_ID IN ('01', '02')")
+def totals_of_files(spark, d):
+    """Totals in scope over a list of files."""
+    c = table(spark, d, "customer")
+    folders = [new_folder(spark, "totals-text") for _ in range(2)]
+    sinks.write_delimited(c.groupBy(F.lit("STATE").alias("REGION_TYPE"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("REGION_ID")).agg(F.count(F.lit(1)).alias("total")), folders[0])
+    sinks.write_delimited(c.agg(F.count(F.lit(1)).alias("total")).select(F.lit("USA").alias("REGION_TYPE"), F.lit("1").alias("REGION_ID"), "total"), folders[1])
+    both = readers.delimited(spark, folders, "REGION_TYPE string, REGION_ID string, total long")
+    return readers.totals_in_scope(both, ["01", "02"], table(spark, d, "nation").select(F.col("n_name").alias("AIANNHCE")))
+
+
+def _commented(spark: SparkSession, df: DataFrame, k: str, n: str) -> str:
+    """A folder of text with a comment, a header, and a line for each row."""
+    folder = new_folder(spark, "commented-text")
+    head = spark.createDataFrame([(0, 0, "# kept by hand"), (0, 1, "k,n")], "part int, at long, value string")
+    lines = df.select(F.lit(1).alias("part"), F.col(k).cast("long").alias("at"), F.concat_ws(",", F.col(k).cast("string"), F.col(n)).alias("value"))
+    head.unionByName(lines).orderBy("part", "at").select("value").write.text(folder)
+    return folder
+
+
+@query("SELECT s_suppkey AS k, s_name AS n FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer")
+def commented_files(spark, d):
+    """Two commented files with one header, joined and split again."""
+    folder = new_folder(spark, "joined-text")
+    readers.join_commented(spark, [_commented(spark, table(spark, d, "supplier"), "s_suppkey", "s_name"), _commented(spark, table(spark, d, "customer"), "c_custkey", "c_name")], folder)
+    _, names, lines = readers.commented(spark, folder)
+    return readers.parse_piped(lines, readers.layout_of(f"{names[0]} 0-1 long\n{names[1]} 1-2"), sep=",").select("k", "n")
+
+
+@query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
+def released_counts(spark, d):
+    """Written once in random placement; the session runs it on a private table."""
+    session = budget.Session(float("inf"), new_folder(spark, "released"))
+    session.add_private("orders", table(spark, d, "orders").select("o_orderkey", "o_orderpriority"))
+    session.add_public("names", table(spark, d, "orders").select("o_orderpriority").distinct())
+    return session.run(Steps("orders").join_public("names", ["o_orderpriority"], most=1).groupby(session.public["names"]).count("n"), float("inf"))
+
+
 @query("SELECT o_orderkey AS KEY, o_orderstatus AS STATUS, o_orderkey % 5 <> 0 AS well_formed FROM orders")
 def piped_parse(spark, d):
     line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 5 == 0, "more"))
@@ -788,6 +844,17 @@ def people(spark: SparkSession, d: str) -> DataFrame:
     return tabulate.regions_long(wide, {"WORLD": "WORLD", "REGION": "REGION", "NATION": "NATION"})
 
 
+def index_sql(level: int) -> str:
+    return f"len(list_filter([{', '.join(map(str, tabulate.AGE_EDGES[level]))}], lambda x: x <= age))"
+
+
+@query(f"SELECT id, CAST({index_sql(1)} AS INTEGER) AS age4, CAST({index_sql(2)} AS INTEGER) AS age9, CAST({index_sql(3)} AS INTEGER) AS age23 FROM ({PEOPLE})")
+def root_view(spark, d):
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    people = o.select(F.col("o_orderkey").alias("id"), F.least(F.lit(115), F.floor(F.col("o_totalprice") / 4000)).cast("int").alias("age"))
+    return tabulate.with_age_bins(people).select("id", "age4", "age9", "age23")
+
+
 @query(f"WITH {LEVELS} SELECT * FROM t")
 def adaptive_levels(spark, d):
     return tabulate.levels(people(spark, d), GROUPS, THRESHOLDS)

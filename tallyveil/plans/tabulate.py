@@ -84,6 +84,11 @@ def _low(level: Column, age: Column) -> Column:
     return out
 
 
+def with_age_bins(persons: DataFrame, age: str = "age") -> DataFrame:
+    """persons with the place of their age among each level's bins, from 0: age4, age9, age23."""
+    return persons.withColumns({f"age{len(edges) + 1}": digitize(F.col(age), edges) for edges in AGE_EDGES.values()})
+
+
 def adaptive_cells(persons: DataFrame, levelled: DataFrame, groups: Sequence[str], sexes: Sequence[str], sex: str = "sex", age: str = "age", noise: Callable = _exact) -> DataFrame:
     """Second stage: counts of every cell of every group's own table, empty cells included, in one aggregation."""
     own = staged(levelled.select(*groups, "level"), "levels")

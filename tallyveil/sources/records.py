@@ -161,7 +161,13 @@ def broken_fields(records: DataFrame, layout: Sequence[RecordField], name: str =
 
 
 def field_report(records: DataFrame, layout: Sequence[RecordField]) -> DataFrame:
-    """field, checked, broken: one row for each field, from one scan."""
-    counts = records.agg(F.count(F.lit(1)).alias("checked"), *[F.count_if(~f.valid()).alias(f.name) for f in layout])
-    each = F.array(*[F.struct(F.lit(f.name).alias("field"), F.col(f.name).alias("broken")) for f in layout])
-    return counts.select("checked", F.explode(each).alias("f")).select("f.field", "checked", "f.broken")
+    """field, checked, broken: one row for each field, from one scan.
+
+    Every record gives the names of its broken fields, and one empty name; these are counted.
+    """
+    names = broken_fields(records, layout, "__broken").select(F.explode(F.concat(F.array(F.lit("")), "__broken")).alias("field"))
+    counts = names.groupBy("field").agg(F.count(F.lit(1)).alias("n"))  # at most one row for each field, and one
+    one = counts.agg(F.map_from_entries(F.collect_list(F.struct("field", "n"))).alias("of"))
+    of = lambda name: F.coalesce(F.try_element_at("of", name), F.lit(0).cast("long"))
+    each = one.select("of", F.explode(F.array(*[F.lit(f.name) for f in layout])).alias("field"))
+    return each.select("field", of(F.lit("")).alias("checked"), of(F.col("field")).alias("broken"))
