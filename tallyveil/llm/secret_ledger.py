@@ -3,9 +3,10 @@
 Every version of every path is addressed by the SHA-256 of its content. A
 ledger table holds one row for each (blob, rule version) that was scanned, with
 its spans; only pairs that it lacks are scanned, each content once however many
-paths hold it, and findings join back to all paths. A row is the proof of the
-scan and its result at once, so a run that dies between two writes leaves
-nothing half done.
+paths hold it, and findings join back to all paths. Digests alone tell what is
+unseen; texts are fetched for that only. A row is the proof of the scan and its
+result at once, so a run that dies between two writes leaves nothing half done.
+The ledger has a folder for each rule version, so a run reads its own.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .spans import SPAN, digest_columns, matches, span
 
 LEDGER = f"blob string, rule_version string, spans array<{SPAN}>"
 SALTS = 64
+#: Unseen blobs up to which their digests are broadcast (about 100 bytes each).
+MOST_BROADCAST = 500_000
 
 
 @dataclass(frozen=True)
@@ -68,29 +71,60 @@ def secret_spans(text: Column, rules: RuleSet = RULES) -> Column:
 
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table at path, made empty where there is none."""
-    spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(path)
-    return spark.read.schema(LEDGER).parquet(path)
+    _append(spark.createDataFrame([], LEDGER), path, "ignore")
+    return spark.read.schema(LEDGER).parquet(path).select("blob", "rule_version", "spans")
 
 
-def scan_versions(versions: DataFrame, ledger_path: str, path_col: str = "path", text_col: str = "text", *, rules: RuleSet = RULES, salts: int = SALTS) -> DataFrame:
+def _append(rows: DataFrame, path: str, mode: str = "append") -> None:
+    rows.write.mode(mode).partitionBy("rule_version").parquet(path)
+
+
+def compact_ledger(spark: SparkSession, path: str, target: str, *, files: int = 64) -> None:
+    """Writes the ledger at path anew to target, an unused path: each pair once, in at most `files` files for each rule version.
+
+    Many small runs leave many small files, and runs at the same time equal
+    rows. The ledger at path stays as it is; an empty one gives an empty one.
+    """
+    pairs = open_ledger(spark, path).groupBy("blob", "rule_version").agg(F.first("spans").alias("spans"))
+    open_ledger(spark, target)
+    _append(pairs.repartition(files, "blob"), target)
+
+
+def _unseen_contents(versions: DataFrame, blob: Column, text: Column, blobs: DataFrame, most_broadcast: int) -> DataFrame | None:
+    """The distinct (blob, text) of versions whose blob isn't known in blobs (blob, known); None where all are."""
+    contents = versions.select(blob.alias("blob"), text.alias("text"))
+    unseen = blobs.filter("NOT known").select("blob")
+    counts = blobs.agg(F.count_if("known").alias("known"), F.count_if(~F.col("known")).alias("unseen")).first()
+    if not counts["unseen"]:
+        return None
+    if not counts["known"]:
+        return contents.distinct()
+    if counts["unseen"] <= most_broadcast:
+        return contents.join(F.broadcast(unseen), "blob", "left_semi").distinct()  # texts of known blobs are in no shuffle
+    return contents.distinct().join(unseen, "blob", "left_semi")  # equal texts merge in map tasks first: no hot blob
+
+
+def scan_versions(versions: DataFrame, ledger_path: str, path_col: str = "path", text_col: str = "text", *, rules: RuleSet = RULES, salts: int = SALTS, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Scans what the ledger lacks, appends it, and returns one row for each version: path, blob, spans.
 
     versions has a row for every historical version of a path. Null text is
     the empty blob. Repeated rows give repeated results; null paths are kept;
     an empty table gives no rows and leaves the ledger as it was. Spans are
-    sorted by start and rule. Other columns play no part. A content reaches
-    its scan once for each task that reads it, and is scanned once.
+    sorted by start and rule. Other columns play no part. A content that is
+    unseen reaches its scan once for each task that reads it, and is scanned
+    once; one that is known is only digested.
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     blob = F.sha2(text, 256)
     salt = F.pmod(F.xxhash64(F.col(path_col)), F.lit(salts)).cast("int")
-    contents = versions.select(blob.alias("blob"), text.alias("text")).groupBy("blob", "text").agg(F.lit(rules.version).alias("rule_version"))
-    scanned = open_ledger(spark, ledger_path).filter(F.col("rule_version") == rules.version)
-    unseen = contents.join(scanned.select("blob"), "blob", "left_anti")
-    unseen.select("blob", "rule_version", secret_spans(F.col("text"), rules).alias("spans")).write.mode("append").parquet(ledger_path)
-
     addressed = staged(versions.select(F.col(path_col).alias("path"), blob.alias("blob"), salt.alias("salt")), "blob-paths")
+    scanned = open_ledger(spark, ledger_path).filter(F.col("rule_version") == rules.version).select("blob").distinct().withColumn("known", F.lit(True))
+    blobs = addressed.select("blob").distinct().join(scanned, "blob", "left").select("blob", F.coalesce("known", F.lit(False)).alias("known"))
+    contents = _unseen_contents(versions, blob, text, staged(blobs, "blobs"), most_broadcast)
+    if contents is not None:
+        _append(contents.select("blob", F.lit(rules.version).alias("rule_version"), secret_spans(F.col("text"), rules).alias("spans")), ledger_path)
+
     # Two runs at once may have scanned the same pair; their rows are alike.
     found = open_ledger(spark, ledger_path).filter((F.col("rule_version") == rules.version) & (F.size("spans") > 0)).groupBy("blob").agg(F.first("spans").alias("spans"))
     spread = addressed.select("blob", "salt").distinct().join(found, "blob")  # at most `salts` rows for a blob

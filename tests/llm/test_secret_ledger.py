@@ -1,5 +1,7 @@
+import pytest
+
 from tallyveil.llm.scratch import new_folder
-from tallyveil.llm.secret_ledger import RuleSet, Rule, op3_sql, open_ledger, scan_documents, scan_versions
+from tallyveil.llm.secret_ledger import RuleSet, Rule, compact_ledger, op3_sql, open_ledger, scan_documents, scan_versions
 
 ROWS = [
     (1, 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" x', "a"), (2, "secret=token:abcdefgh", "b"), (3, "PASSWORD: hunter2hunter2 Api-key apikey='abcdef'", "c"), (4, None, "d"), (5, "", "e"),
@@ -37,7 +39,7 @@ def test_runs_that_overlap_and_many_matches(spark):
     path = new_folder(spark, "test-ledger")
     rows = spark.createDataFrame([("a", "token=abcdef " * 100_000), ("b", "secret=abcdef")], "path string, text string")
     scan_versions(rows, path).collect()
-    open_ledger(spark, path).write.mode("append").parquet(path)  # as a second run that started at the same time leaves it
+    open_ledger(spark, path).write.mode("append").partitionBy("rule_version").parquet(path)  # as a second run that started at the same time leaves it
     out = {r.path: r.spans for r in scan_versions(rows, path).collect()}
     assert [(s.start, s.end) for s in out["a"]] == [(i * 13, i * 13 + 12) for i in range(100_000)]
     assert len(out) == 2 and scan_versions(rows, path).count() == 2
@@ -45,4 +47,36 @@ def test_runs_that_overlap_and_many_matches(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
-    assert scan_documents(docs).collect() == []
+    path = new_folder(spark, "test-ledger")
+    assert scan_documents(docs, ledger_path=path).collect() == []
+    assert open_ledger(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("most_broadcast", [100, 0])
+def test_texts_of_known_blobs_are_not_scanned_again(spark, most_broadcast):
+    """A third of the new rows is one text, nine tenths of the others are known; both ways to fetch texts give the same."""
+    path = new_folder(spark, "test-ledger")
+    known = spark.range(300).selectExpr("concat('p', id) AS path", "concat('token=known', id) AS text")
+    fresh = spark.range(30).selectExpr("concat('q', id) AS path", "concat('token=fresh', id) AS text")
+    hot = spark.range(150).selectExpr("concat('r', id) AS path", "'secret=hothothot' AS text")
+    scan_versions(known, path).collect()
+    out = scan_versions(known.unionByName(fresh).unionByName(hot), path, most_broadcast=most_broadcast).collect()
+    assert len(out) == 480 and all(len(r.spans) == 1 for r in out)
+    assert open_ledger(spark, path).count() == 331
+    assert scan_versions(known.unionByName(hot), path, most_broadcast=most_broadcast).count() == 450
+    assert open_ledger(spark, path).count() == 331
+
+
+def test_compaction_keeps_each_pair_once(spark):
+    path, target = new_folder(spark, "test-ledger"), new_folder(spark, "test-ledger")
+    rows = spark.createDataFrame([("a", "token=abcdef"), ("b", "plain"), (None, None)], "path string, text string")
+    scan_versions(rows, path).collect()
+    scan_versions(rows, path, rules=RuleSet("next", (Rule("plain", "plain"),))).collect()
+    before = sorted(map(str, open_ledger(spark, path).collect()))
+    open_ledger(spark, path).write.mode("append").partitionBy("rule_version").parquet(path)
+    compact_ledger(spark, path, target, files=2)
+    assert sorted(map(str, open_ledger(spark, target).collect())) == before and len(before) == 6
+    assert sorted(len(r.spans) for r in scan_versions(rows, target).collect()) == [0, 0, 1]
+    assert len(open_ledger(spark, target).inputFiles()) <= 4
+    compact_ledger(spark, new_folder(spark, "test-ledger"), empty := new_folder(spark, "test-ledger"))
+    assert open_ledger(spark, empty).count() == 0
