@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,12 @@ class Session:
 
     def add_private(self, name: str, df: DataFrame, sensitivity: float = 1, grouping_column: str | None = None, id_column: str | None = None) -> None:
         df = coerced(df)
-        self.private[name] = (df, spec_of(df, sensitivity, grouping_column, id_column))
+        self._put(name, df, spec_of(df, sensitivity, grouping_column, id_column))
+
+    def _put(self, name: str, df: DataFrame, spec: TableSpec) -> None:
+        """A private table, new or in place of another; bounds of that other one with further tables end."""
+        self.private[name] = (df, spec)
+        self.together.pop(name, None)
 
     def add_public(self, name: str, df: DataFrame) -> None:
         self.public[name] = coerced(df)
@@ -134,10 +140,11 @@ class Session:
                 if column and not carries(df, out, column):
                     raise ValueError(f"a view must keep {column} as it is")
             out = coerced(out)
-        self.private[name] = (out.persist() if cache else out, spec_of(out, spec.sensitivity * factor, spec.grouping_column, spec.id_column))
+        self._put(name, out.persist() if cache else out, spec_of(out, spec.sensitivity * factor, spec.grouping_column, spec.id_column))
 
     def delete_view(self, name: str) -> None:
         self.private.pop(name)[0].unpersist()
+        self.together.pop(name, None)
 
     def split(self, source: str, column: str, parts: dict[str, object], amount: float, most_parts: int | None = None) -> dict[str, Session]:
         """A session with `amount` and all public tables for each disjoint part of a table.
@@ -145,13 +152,19 @@ class Session:
         Rows of a unit without an id lie in different parts only as far as
         they are fewer in each, so this session is charged once. An id may have
         all its rows in every part: most_parts bounds in how many it stays, the
-        others are dropped, and the charge is that many amounts.
+        others are dropped, and the charge is that many amounts. A null value
+        is a part like others. Values that repeat would be parts that share
+        their rows, and are refused.
         """
+        values = list(parts.values())
+        if any(v in values[:i] for i, v in enumerate(values)):
+            raise ValueError("the parts of a split are disjoint: each value once")
         df, spec = self.private[source]
         if spec.id_column:
             if not most_parts:
                 raise ValueError(f"an id of {spec.id_column} may be in every part; say in how many at most")
-            df = limit_keys(df.filter(F.col(column).isin(list(parts.values()))), [spec.id_column], [column], most_parts)
+            listed = reduce(Column.__or__, [F.col(column).eqNullSafe(F.lit(v)) for v in parts.values()])
+            df = limit_keys(df.filter(listed), [spec.id_column], [column], most_parts)
             self.charge(f"split of {source}", amount * most_parts)
         else:
             amount = self.charge(f"split of {source}", amount)

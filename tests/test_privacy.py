@@ -127,6 +127,43 @@ def test_ids_of_several_tables(spark, tmp_path):
         s.run_together({"n": Query("a").count(), "m": Query("a").count()}, 0.1)
 
 
+def test_tables_in_place_of_bounded_ones(spark, tmp_path):
+    """A table that takes a bounded one's name has a reach of its own: one charge doesn't pay for it and others."""
+    rows = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "id long, x int")
+    s = Session(1.0, str(tmp_path))
+    both = {"n": Query("a").count(), "m": Query("b").count()}
+
+    def bounded():
+        for name in ("a", "b"):
+            s.add_private(name, rows, id_column="id")
+        s.bound_ids(["a", "b"], 1)
+
+    bounded()
+    s.create_view("a", "a", lambda df: df.unionAll(df).unionAll(df), factor=3)
+    with pytest.raises(ValueError, match="bounded together"):
+        s.run_together(both, 0.1)
+    bounded()
+    s.add_private("b", rows, sensitivity=5)
+    with pytest.raises(ValueError, match="bounded together"):
+        s.run_together(both, 0.1)
+    bounded()
+    s.delete_view("a")
+    s.add_private("a", rows)
+    with pytest.raises(ValueError, match="bounded together"):
+        s.run_together(both, 0.1)
+    assert s.left == 1.0
+
+
+def test_parts_of_null_and_of_one_value_twice(spark, tmp_path):
+    s = Session(1.0, str(tmp_path))
+    s.add_private("t", spark.createDataFrame([(1, "a"), (1, None), (2, None), (3, "c")], "id long, k string"), id_column="id")
+    parts = s.split("t", "k", {"a": "a", "none": None}, 0.25, most_parts=2)
+    assert s.left == 0.5 and {n: p.private[n][0].count() for n, p in parts.items()} == {"a": 1, "none": 2}
+    with pytest.raises(ValueError, match="disjoint"):
+        s.split("t", "k", {"a": "a", "again": "a"}, 0.1, most_parts=2)
+    assert s.left == 0.5
+
+
 def chi_squared(draws, variance):
     top = math.ceil(9 * math.sqrt(variance)) + 1
     mass = {k: math.exp(-k * k / (2 * variance)) for k in range(-top, top + 1)}
