@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .prefix import copy_numbers
 
@@ -33,14 +34,20 @@ def map_columns(df: DataFrame, columns: dict[str, Column], augment: bool = False
     return df.select("*", *[e.alias(c) for c, e in columns.items() if c not in df.columns])
 
 
-def map_rows(df: DataFrame, function: Callable[[dict], dict], schema: str) -> DataFrame:
-    """A Python function of rows, for what no expression can say; one Arrow batch at a time."""
+def _by_python(df: DataFrame, rows_of: Callable[[dict], list[dict]], schema: str) -> DataFrame:
+    """Rows that a Python function makes of each row; Arrow keeps whole numbers beside nulls exact, and a null is None."""
+    shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame([function(r) for r in batch.to_dict("records")])
+            yield pa.RecordBatch.from_pylist([new for row in batch.to_pylist() for new in rows_of(row)], schema=shape)
+
+    return df.mapInArrow(run, schema)
 
-    return df.mapInPandas(run, schema)
+
+def map_rows(df: DataFrame, function: Callable[[dict], dict], schema: str) -> DataFrame:
+    """A Python function of rows, for what no expression can say; one Arrow batch at a time. What it doesn't give is null."""
+    return _by_python(df, lambda row: [function(row)], schema)
 
 
 def flat_map(df: DataFrame, rows: Column, most: int, name: str, augment: bool = True) -> DataFrame:
@@ -51,13 +58,7 @@ def flat_map(df: DataFrame, rows: Column, most: int, name: str, augment: bool =
 
 def flat_map_rows(df: DataFrame, function: Callable[[dict], list[dict]], most: int, schema: str) -> DataFrame:
     """Up to `most` rows for each row from a Python function, for what no expression can say; one Arrow batch at a time."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([new for r in batch.to_dict("records") for new in function(r)[:most]], columns=names)
-
-    names = T.StructType.fromDDL(schema).names
-    return df.mapInPandas(run, schema)
+    return _by_python(df, lambda row: function(row)[:most], schema)
 
 
 def grouping_flat_map(df: DataFrame, groups: Column, most: int, name: str) -> DataFrame:

@@ -58,7 +58,7 @@ def _checked(function: Callable[[dict], list[dict]], fixed: list[str], first: bo
         out = function(row)
         for made in out:
             for column in fixed:
-                if column in made and made[column] != row[column]:
+                if column not in made or (made[column] is not row[column] and made[column] != row[column]):
                     raise ValueError(f"the column {column} can't be changed")
         return out[0] if first else out
 
@@ -111,12 +111,12 @@ class Query:
     def filter(self, predicate: str) -> Query:
         return self._rows(lambda df: rows.where(df, predicate))
 
-    def _assigned(self, names: Sequence[str], change: Callable[[DataFrame], DataFrame], by: float = 1, grouping: str | None = None) -> Query:
+    def _assigned(self, names: Sequence[str], change: Callable[[DataFrame], DataFrame], by: float = 1) -> Query:
         """A step that gives columns new values."""
 
         def step(s: State) -> State:
             s.without(names)
-            return s.to(change(s.df), by, grouping)
+            return s.to(change(s.df), by)
 
         return self.then(step)
 
@@ -139,7 +139,15 @@ class Query:
         return self._by_rows(lambda s: rows.flat_map_rows(s.df, _checked(function, s.fixed), most, schema), most)
 
     def grouping_flat_map(self, values: Column, most: int, name: str) -> Query:
-        return self._assigned([name], lambda df: rows.grouping_flat_map(df, values, most, name), most, name)
+        """Groups of each row; the aggregate must have them among its keys. A table that must be grouped already can't get a second such column."""
+
+        def step(s: State) -> State:
+            s.without([name])
+            if s.grouping:
+                raise ValueError(f"the table is grouped by {s.grouping} already")
+            return s.to(rows.grouping_flat_map(s.df, values, most, name), most, name)
+
+        return self.then(step)
 
     def bin_column(self, column: str, bins: Bins, name: str | None = None) -> Query:
         name = name or f"{column}_binned"
@@ -179,13 +187,13 @@ class Query:
 
     def join_private(self, other: Query, most_left: int, most_right: int, on: Sequence[str], drop: bool = False, nulls: bool = True) -> Query:
         def step(s: State) -> State:
-            if s.grouping:
-                raise ValueError("a table that must be grouped can't be joined with a private one")
             right = other.state(s.session)
+            if s.grouping or right.grouping:
+                raise ValueError("a table that must be grouped can't be joined with a private one")
             if s.ident or right.ident:
                 if s.ident != right.ident or s.ident not in on:
                     raise ValueError("tables with an id are joined on it")
-                return s.to(joins.join(s.df, right.df, on, nulls))
+                return replace(s, reach=max(s.reach, right.reach)).to(joins.join(s.df, right.df, on, nulls))
             out = joins.join_private(s.df, right.df, on, most_left, most_right, drop=drop, nulls=nulls)
             return replace(s, df=out, reach=joins.join_private_sensitivity(s.reach, right.reach, most_left, most_right, drop))
 

@@ -78,6 +78,33 @@ def test_steps_leave_ids_and_groups_alone(visits):
             make(Query("visits"), lambda r: {"id": r["v"], "v": 1}).state(visits).df.collect()
 
 
+def test_a_grouping_column_outlives_joins_and_second_groups(visits, spark):
+    visits.add_private("plain", spark.createDataFrame([(1, 5)], "v long, w long"))
+    for query in (Query("plain").join_private(Query("grouped"), 1, 1, ["v"]), Query("grouped").join_private(Query("plain"), 1, 1, ["v"])):
+        with pytest.raises(ValueError, match="must be grouped"):
+            query.state(visits)
+    with pytest.raises(ValueError, match="grouped by k already"):
+        Query("grouped").grouping_flat_map(F.array(F.col("v")), 2, "g").state(visits)
+    with pytest.raises(ValueError, match="grouped by g already"):
+        Query("plain").grouping_flat_map(F.array(F.col("v")), 2, "g").grouping_flat_map(F.array(F.col("v")), 2, "h").state(visits)
+
+
+def test_python_rows_keep_ids_as_they_are(spark, tmp_path):
+    """Whole numbers beyond 2 ** 53 beside null ids; a row that comes back without its id is refused."""
+    ids = [2**53, 2**53 + 1, None, 2**62 + 1]
+    s = Session(1.0, str(tmp_path))
+    s.add_private("t", spark.createDataFrame([(i, 0.5, None) for i in ids], "id long, x double, d date").coalesce(1), id_column="id")
+    schema = "id long, seen string"
+    show = lambda r: {"id": r["id"], "seen": f"{r['id']} {r['d']}"}
+    want = sorted(((i, f"{i} None") for i in ids), key=str)
+    assert found(Query("t").map_rows(show, schema).state(s).df) == want
+    assert found(Query("t").flat_map_rows(lambda r: [show(r), show(r)], 1, schema).state(s).df) == want
+    assert Query("t").flat_map_rows(lambda r: [], 1, schema).state(s).df.count() == 0
+    for make in (lambda f: Query("t").map_rows(f, schema), lambda f: Query("t").flat_map_rows(lambda r: [f(r)], 1, schema)):
+        with pytest.raises(Exception, match="can't be changed"):
+            make(lambda r: {"seen": "x"} if r["id"] == 2**53 else show(r)).state(s).df.collect()
+
+
 def test_a_limit_holds_for_true_ids(spark, tmp_path):
     s = Session(1.0, str(tmp_path))
     s.add_private("t", spark.createDataFrame([(1, v) for v in range(1000)], "id long, v long"), id_column="id")
