@@ -18,8 +18,9 @@ NULL = "\\0"
 
 
 def content(columns: Sequence[str]) -> Column:
-    """A digest of columns as text."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL)) for c in columns]), 256)
+    """A digest of columns as text; bars and backslashes in values are escaped, so different rows have different texts."""
+    escaped = lambda c: F.regexp_replace(F.col(f"`{c}`").cast("string"), r"([|\\])", r"\\$1")
+    return F.sha2(F.concat_ws("|", *[F.coalesce(escaped(c), F.lit(NULL)) for c in columns]), 256)
 
 
 def limit_across(tables: dict[str, DataFrame], ids: dict[str, str], most: int, groups: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:

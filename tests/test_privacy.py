@@ -154,6 +154,15 @@ def test_ids_of_several_tables(spark, tmp_path):
         s.run_together({"n": Query("a").count(), "m": Query("a").count()}, 0.1)
 
 
+def test_rows_with_bars_are_contributions_of_their_own(spark):
+    rows = [(1, "a|b", "c"), (1, "a", "b|c"), (1, "a\\", "b|c"), (1, "a\\|b", "c"), (1, None, "c"), (1, "\\0", "c"), (2, "|", ""), (2, "", "|")]
+    df = spark.createDataFrame(rows, "id long, x string, y string")
+    assert df.select(contributions.content(["x", "y"])).distinct().count() == len(rows)
+    for most in (1, 2):
+        for groups in (None, {"t": ["x", "y"]}):
+            assert Counter(r.id for r in contributions.limit_across({"t": df}, {"t": "id"}, most, groups)["t"].collect()) == {1: most, 2: most}
+
+
 def test_tables_in_place_of_bounded_ones(spark, tmp_path):
     """A table that takes a bounded one's name has a reach of its own: one charge doesn't pay for it and others."""
     rows = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "id long, x int")
