@@ -154,17 +154,25 @@ def household_places(unit: DataFrame, geography: DataFrame, *, block: str = "OID
     return own.join(geo, "__block").select(*columns)
 
 
+#: What orders lines: their file, the block of it that a task read, and a number that grows along the block.
+PLACE = ("path", "block", "at")
+
+
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a file with their place: a number that grows along the file. Files are read in order, so ids in order of partitions do."""
-    return spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+    """Lines of a file, or of a folder's files by their names, with their PLACE.
+
+    Scans deal out files by size, not by name, so numbers that grow over tasks tell the order of lines in one block only.
+    """
+    own = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+    return spark.read.text(path).select("value", *own, F.monotonically_increasing_id().alias("at"))
 
 
 def commented(spark: SparkSession, path: str, sep: str = ",") -> tuple[DataFrame, list[str], DataFrame]:
-    """Comment lines (#), the header's names (of the first other line of the file), and the data lines of a text file."""
+    """Comment lines (#), the header's names (of the first other line), and the data lines of a text file, or of a folder whose files go by their names."""
     lines = _numbered(spark, path)
     note = F.col("value").startswith("#")
     comments, rest = lines.filter(note).select("value"), lines.filter(~note)
-    first = rest.orderBy("at").first()
+    first = rest.orderBy(*PLACE).first()
     names = first["value"].split(sep) if first else []
     return comments, names, rest.filter(F.col("value") != (first["value"] if first else "")).select("value")
 
@@ -175,9 +183,10 @@ def join_commented(spark: SparkSession, paths: Sequence[str], folder: str, sep:
     if len({tuple(names) for _, names, _ in parts}) != 1:
         raise ValueError("the files' headers differ")
     counts = [f"# {p}: {data.count()} records" for p, (_, _, data) in zip(paths, parts, strict=True)]
-    out = spark.createDataFrame([(0, 0, i, c) for i, c in enumerate(counts)] + [(2, 0, 0, sep.join(parts[0][1]))], "part int, file int, at long, value string")
+    out = spark.createDataFrame([(0, 0, "", 0, i, c) for i, c in enumerate(counts)] + [(2, 0, "", 0, 0, sep.join(parts[0][1]))], "part int, file int, path string, block long, at long, value string")
     note = F.col("value").startswith("#")
     for i, p in enumerate(paths):
         lines = _numbered(spark, p).filter(note | (F.col("value") != sep.join(parts[0][1])))
-        out = out.unionByName(lines.select(F.when(note, 1).otherwise(3).alias("part"), F.lit(i).alias("file"), "at", "value"))
-    out.repartitionByRange("part", "file", "at").sortWithinPartitions("part", "file", "at").select("value").write.mode("overwrite").text(folder)
+        out = out.unionByName(lines.select(F.when(note, 1).otherwise(3).alias("part"), F.lit(i).alias("file"), *PLACE, "value"))
+    order = ("part", "file", *PLACE)
+    out.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(folder)

@@ -278,6 +278,26 @@ def test_sources_and_sinks(spark, tmp_path):
     assert found(readers.geography_of_units(g, u)) == [("b1", "x"), ("b2", None)]
 
 
+def test_commented_folder_of_uneven_files(spark, tmp_path):
+    """Files go by their names, though a scan deals the largest out first, and blocks of a file by their start."""
+    for name, first in (("x", 0), ("y", 500)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-00000.txt").write_text(f"# note {name}\na,b\n")
+        (tmp_path / name / "part-00001.txt").write_text(f"{first},v\n")
+        (tmp_path / name / "part-00002.txt").write_text("".join(f"{first + i},v\n" for i in range(1, 500)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700b")
+    try:
+        readers.join_commented(spark, [f"{tmp_path}/x", f"{tmp_path}/y"], f"{tmp_path}/joined")
+        notes, names, lines = readers.commented(spark, f"{tmp_path}/joined")
+        assert names == ["a", "b"] and notes.count() == 4 and lines.count() == 1000
+    finally:
+        spark.conf.set(key, before)
+    out = [line for p in sorted((tmp_path / "joined").glob("part-*")) for line in p.read_text().splitlines()]
+    assert out == [f"# {tmp_path}/x: 500 records", f"# {tmp_path}/y: 500 records", "# note x", "# note y", "a,b", *[f"{i},v" for i in range(1000)]]
+
+
 def test_tables_of_a_set(spark):
     t = spark.createDataFrame([("01",), ("99",)], "st string")
     rules = {"good": [quality.Pattern("st", "[0-9]+")], "bad": [quality.Values("st", ("01",))], "gone": [], "odd": [quality.Values("x", ())], "void": [quality.Values("st", ())]}
