@@ -887,12 +887,13 @@ f AS (SELECT l_orderkey, grp, alone, count(DISTINCT c.code) AS k FROM c JOIN m U
 SELECT DISTINCT l_orderkey, grp FROM f JOIN n USING (l_orderkey) WHERE NOT alone OR k = n""")
 def alone_in_combination(spark, d):
     part = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("code"))
-    line = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    persons = line.groupBy("l_orderkey").agg(F.collect_set("code").alias("codes"))
+    items = table(spark, d, "lineitem")
+    line = items.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    persons = tabulate.code_arrays(line, "l_orderkey", "code", most_rows=items.count())  # keys of parts are unique
     brands = part.select("code").distinct()
     group = F.substring("code", 1, 7)
     mapping = brands.select("code", group.alias("grp"), F.lit(False).alias("alone")).union(brands.select("code", F.concat(group, F.lit(" alone")), F.lit(True)))
-    return tabulate.code_groups(persons, "l_orderkey", "codes", mapping, "code", "grp", "alone")
+    return tabulate.code_groups(persons, "l_orderkey", "codes", mapping, "code", "grp", "alone", once=True)
 
 
 @query("SELECT n_nationkey AS key, lpad(CAST(p.p_partkey AS VARCHAR), 4, '0') AS code FROM nation JOIN part p ON p.p_partkey BETWEEN n_nationkey * 10 AND n_nationkey * 10 + 5 OR p.p_partkey = 1000 + n_nationkey")

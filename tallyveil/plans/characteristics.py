@@ -12,7 +12,7 @@ from ..operators.aggregates import count
 from ..operators.noise import gaussian_bounds, gaussian_noise_by, geometric_noise_by, inverse_cdf, not_negative, released
 from ..scratch import staged
 from ..sources.sinks import write_delimited
-from .tabulate import ALL, adaptive_cells, regions_long, with_marginals
+from .tabulate import ALL, adaptive_cells, groups_of_lists, regions_long, with_marginals
 
 #: Rows of a mapping up to which it is one broadcast row of maps, and ways into which the rows of a code are dealt beyond.
 MOST_CODES = 100_000
@@ -38,9 +38,7 @@ def chosen(groups: DataFrame, *, kind: str | None = None, alone: bool | None = N
 
 def _found(alone_of: Column, any_of: Column, ethnic: Column) -> Column:
     """Sorted groups of a person from lists for each code: those that all codes have alone, those that any has, those of the ethnicity."""
-    none = F.array().cast("array<string>")
-    alone = F.aggregate(alone_of, F.coalesce(F.get(alone_of, F.lit(0)), none), lambda a, x: F.array_intersect(a, x))
-    return F.array_sort(F.array_distinct(F.concat(alone, F.flatten(any_of), ethnic)))
+    return F.array_sort(groups_of_lists(alone_of, any_of, ethnic))
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,10 @@ LAST_AGE = 115
 ALL = "*"
 #: Groups up to which their levels are broadcast to the rows; beyond, adaptive execution splits hot groups of the join.
 MOST_BROADCAST = 500_000
+#: Codes up to which their groups (a hundred times as many at most) are one broadcast row of maps, which are searched from their start.
+MOST_MAPPED = 1_000
+#: Rows of a task where persons' codes are gathered.
+ROWS_OF_TASK = 250_000
 
 
 def expand_codes(df: DataFrame, key: str, short: str, codes: DataFrame, code: str) -> DataFrame:
@@ -30,16 +34,53 @@ def expand_codes(df: DataFrame, key: str, short: str, codes: DataFrame, code: st
     return each.distinct().join(known, "__code").select(key, code)
 
 
-def code_groups(persons: DataFrame, person: str, codes: str, mapping: DataFrame, code: str, group: str, alone: str) -> DataFrame:
+def groups_of_lists(alone_of: Column, any_of: Column, *more: Column, kind: str = "string") -> Column:
+    """Different groups of a person from lists for each code: those that all codes have alone, those that any has, and others given."""
+    none = F.array().cast(f"array<{kind}>")
+    alone = F.aggregate(alone_of, F.coalesce(F.get(alone_of, F.lit(0)), none), lambda a, x: F.array_intersect(a, x))
+    return F.array_distinct(F.concat(alone, F.flatten(any_of), *more))
+
+
+def code_arrays(rows: DataFrame, person: str, code: str, name: str = "codes", most_rows: int | None = None) -> DataFrame:
+    """One row for each person, with the array of their different codes.
+
+    Rows are dealt into as many tasks as they need, about ROWS_OF_TASK in each,
+    before they are gathered: arrays that map tasks begin have no bound but the
+    size of a file's split. most_rows, where it is known, spares a count.
+    """
+    tasks = max(1, -(-(rows.count() if most_rows is None else most_rows) // ROWS_OF_TASK))
+    return rows.select(person, code).repartition(tasks, person).groupBy(person).agg(F.collect_set(code).alias(name))
+
+
+def code_groups(persons: DataFrame, person: str, codes: str, mapping: DataFrame, code: str, group: str, alone: str, *, once: bool = False) -> DataFrame:
     """(person, group) by the person's array of codes.
 
     mapping: code, group, and whether the group counts those who have its
     codes alone. Alone: all of a person's codes map to the group; otherwise any
-    of them.
+    of them. Rows of one person count each for itself; once: there is one row
+    for each person, so that no pair needs to be found twice.
+
+    A code's groups become lists. Few codes are one broadcast row of maps, and a
+    person's groups come from their own row, with no shuffle and no table in
+    memory; more codes meet the persons' codes in a join, by the row.
     """
-    each = persons.select(person, F.size(F.array_distinct(codes)).alias("__n"), F.explode(F.array_distinct(codes)).alias(code))
-    found = each.join(mapping, code).groupBy(person, group, alone, "__n").agg(F.countDistinct(code).alias("__m"))
-    return found.filter(~F.col(alone) | (F.col("__m") == F.col("__n"))).select(person, group).distinct()
+    kind = mapping.schema[group].dataType.simpleString()
+    none = F.array().cast(f"array<{kind}>")
+    of = lambda is_alone: F.array_distinct(F.transform(F.filter("__all", lambda g: F.coalesce(g["alone"], F.lit(True)) == is_alone), lambda g: g["grp"]))
+    whole = mapping.filter(F.col(code).isNotNull()).groupBy(code).agg(F.collect_set(F.struct(F.col(group).alias("grp"), F.col(alone).alias("alone"))).alias("__all"))
+    lists = staged(whole.select(F.col(code).alias("__code"), of(True).alias("__alone"), of(False).alias("__any")), "code-lists")
+    n, entries = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("__alone") + F.size("__any")), F.lit(0))).first()
+    if n <= MOST_MAPPED and entries <= MOST_MAPPED * 100:
+        maps = lists.agg(*[F.map_from_entries(F.collect_list(F.struct("__code", c))).alias(c) for c in ("__alone", "__any")])
+        found = lambda c: F.transform(F.array_distinct(codes), lambda x: F.coalesce(F.try_element_at(F.col(c), x), none))
+        out = persons.crossJoin(F.broadcast(maps)).select(person, F.explode(groups_of_lists(found("__alone"), found("__any"), kind=kind)).alias(group))
+    else:
+        numbered = staged(persons.select(F.col(person).alias("__person"), F.array_distinct(codes).alias("__codes")).withColumn("__row", F.monotonically_increasing_id()), "coded-persons")
+        each = numbered.select("__person", "__row", F.explode("__codes").alias("__code")).join(F.broadcast(lists) if entries <= MOST_BROADCAST else lists, "__code", "left")
+        found = lambda c: F.collect_list(F.coalesce(c, none))
+        by_row = each.groupBy("__row", "__person").agg(groups_of_lists(found("__alone"), found("__any"), kind=kind).alias("__found"))
+        out = by_row.select(F.col("__person").alias(person), F.explode("__found").alias(group))
+    return out if once else out.distinct()
 
 
 def regions_long(df: DataFrame, regions: dict[str, str], name: str = "REGION_ID", kind: str = "REGION_TYPE") -> DataFrame:

@@ -8,6 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from tallyveil import catalog
 from tallyveil.operators import aggregates, diff, joins, keys, noise, quality, quantile, rows, special, truncate
 from tallyveil.operators.bins import Bins
 from tallyveil.plans.budget import BudgetError, Session
@@ -17,6 +18,8 @@ from tallyveil.plans.tabulate import detail_totals, shaped, tabulation
 from tallyveil.sources import readers, records, sinks
 from tallyveil.spec import coerced, spec_of
 
+from .conftest import SF
+
 INF = float("inf")
 PRIVATE = [("0", 0, 0), ("0", 0, 1), ("0", 1, 2), ("1", 0, 3)]
 
@@ -298,6 +301,33 @@ def test_commented_folder_of_uneven_files(spark, tmp_path):
     assert out == [f"# {tmp_path}/x: 500 records", f"# {tmp_path}/y: 500 records", "# note x", "# note y", "a,b", *[f"{i},v" for i in range(1000)]]
 
 
+@pytest.mark.parametrize("most", [1_000, 0])
+def test_code_groups_by_plain_rules(spark, monkeypatch, most):
+    """Each row of a person counts for itself, by maps and by a join; codes that nothing maps, nulls and repeats are codes too."""
+    monkeypatch.setattr(tabulate, "MOST_MAPPED", most)
+    rng = random.Random(3)
+    mapping = [(rng.choice([*range(8), None]), f"g{rng.randrange(4)}", rng.random() < 0.5) for _ in range(24)] + [(20, "pair", True), (21, "pair", True), (0, None, False)]
+    rows = [(i % 90 or None, rng.choices([*range(9), None], k=rng.randrange(4)) if i % 17 else None) for i in range(120)] + [(500, [20, 30]), (500, [21, 31]), (501, [20, 21, 20]), (502, [])]
+    persons = spark.createDataFrame(rows, "id long, codes array<int>")
+    of = {c: [(g, a) for k, g, a in mapping if k == c] for c, _, _ in mapping if c is not None}
+    want = set()
+    for i, codes in rows:
+        for c in set(codes or []):
+            want |= {(i, g) for g, a in of.get(c, []) if not a or all((g, True) in of.get(x, []) for x in set(codes))}
+    out = tabulate.code_groups(persons, "id", "codes", spark.createDataFrame(mapping, "code long, grp string, alone boolean"), "code", "grp", "alone")
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (501, "pair") in want and (500, "pair") not in want
+
+
+def test_groups_of_persons_need_no_table_of_pairs(spark, monkeypatch):
+    """Nothing is gathered above the persons' arrays, nor in the tasks that read the rows, and tasks grow in number with the rows."""
+    monkeypatch.setattr(tabulate, "ROWS_OF_TASK", 1_000)
+    plan = catalog.alone_in_combination(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(l_orderkey", 1)
+    assert "Aggregate" not in above[: above.index("explode")] and "collect_set" not in below
+    assert int(below.split(", ")[1].split(")")[0]) == -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 1_000)
+
+
 def test_tables_of_a_set(spark):
     t = spark.createDataFrame([("01",), ("99",)], "st string")
     rules = {"good": [quality.Pattern("st", "[0-9]+")], "bad": [quality.Values("st", ("01",))], "gone": [], "odd": [quality.Values("x", ())], "void": [quality.Values("st", ())]}
