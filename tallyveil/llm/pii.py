@@ -15,6 +15,7 @@ No feature is a base check.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -47,9 +48,9 @@ PROPOSE = (
 #: Characters of context on either side, and of the pieces of a text that it is taken from.
 CONTEXT = 24
 PIECE = 1024
-#: Candidates that the fit may use, chosen by a hash.
-MOST_CANDIDATES = 20_000
 PRECISION = 0.98
+#: Steps of the scores that thresholds lie between.
+STEPS = 10_000
 FEATURES = ("size", "digits", "letters", "separators", "dots", "spaces", "dashes", "brackets", "round", "first_run", "last_run", "runs", "largest_run", "word_before", "word_after", "cue_email", "cue_ip", "cue_card", "cue_phone", "is_email", "is_ip", "is_card", "is_phone")
 CUES = {"email": "(?i)mail|contact|@|write", "ip": "(?i)\\bip|host|addr|server", "card": "(?i)card|visa|pay|credit", "phone": "(?i)tel|phone|call|mobile|fax"}
 
@@ -226,14 +227,15 @@ def _scores(trees: GBTClassificationModel, found: DataFrame) -> DataFrame:
     return trees.transform(vectors).withColumn("score", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "probability", "prediction")
 
 
-def examples(found: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
-    """At most `most` different examples from candidates: kind, hit, before, after, copies, FEATURES, good (1 or 0), part (0 to 3).
+def examples(found: DataFrame, most: int | None = None) -> DataFrame:
+    """All different examples from candidates: kind, hit, before, after, copies, FEATURES, good (1 or 0), part (0 to 3).
 
     Equal candidates are one, merged in map tasks first. Base spans give a good
     example for each way to hide them that the generators propose whole;
-    candidates that are no base span, nor one in disguise, are bad ones. Of
-    each kind and goodness the same number at most is chosen by hash; all
-    examples made of one candidate's text are in one part.
+    candidates that are no base span, nor one in disguise, are bad ones. All
+    examples made of one candidate's text are in one part. most: for callers
+    who want no more, so many examples, of each kind and goodness the same
+    number at most, chosen by hash.
     """
     different = staged(found.groupBy("kind", "hit", "before", "after").agg(F.count(F.lit(1)).cast("double").alias("copies")), "pii-different")
     kind, hit = F.col("kind"), F.col("hit")
@@ -245,34 +247,60 @@ def examples(found: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
     good = base.filter(whole & ~_passes(kind, hit)).withColumn("good", F.lit(1.0))
     bad = made.filter(~_passes(kind, hit) & ~_passes(kind, undone(kind, hit))).withColumn("good", F.lit(0.0))
     order = F.xxhash64("hit", "before", "after")
-    chosen = [rows.filter(kind == k).orderBy(order, "hit", "before", "after").limit(most // (2 * len(KINDS))) for rows in (good, bad) for k in KINDS]
+    chosen = [good, bad] if most is None else [rows.filter(kind == k).orderBy(order, "hit", "before", "after").limit(most // (2 * len(KINDS))) for rows in (good, bad) for k in KINDS]
     return staged(_featured(reduce(DataFrame.unionByName, chosen)).withColumn("part", F.pmod(F.xxhash64("root"), F.lit(4))), "pii-examples")
 
 
+def merged(sample: DataFrame) -> DataFrame:
+    """Examples whose kind, goodness, part and FEATURES are equal as one row, with n, their number, and weight.
+
+    An example weighs 1 and the log of its copies. Weights are scaled so that
+    both goodnesses of a kind weigh the same, whatever their numbers, and 1 on
+    average.
+    """
+    each = staged(sample.groupBy("kind", "good", "part", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum(1 + F.log("copies")).alias("own")), "pii-merged")
+    totals = each.filter("part > 0").groupBy("kind", "good").agg(F.sum("own").alias("held")).collect()  # eight rows at most
+    share, mean = F.lit(0.0), sum(r.held for r in totals) / max(1, len(totals))
+    for r in totals:
+        share = F.when((F.col("kind") == r.kind) & (F.col("good") == r.good), mean / r.held).otherwise(share)
+    return each.withColumn("weight", F.col("own") * share).drop("own")
+
+
 def fit(sample: DataFrame, *, precision: float = PRECISION, seed: int = 7) -> SpanModel:
     """Learns from three quarters of the examples, weighed by the log of their copies, and calibrates on the rest.
 
-    A kind's threshold is the lowest score whose held-out examples above it are
-    good in at least `precision` of the cases; a kind for which there is none
-    selects nothing. Without both good and bad examples there are no trees, and
-    nothing is selected.
+    Equal examples count as one row with their weight. The trees' bins are cut
+    by all rows: MLlib would draw a sample for them beyond the square of their
+    most. A kind's threshold is the lowest score, in STEPS, whose held-out
+    examples above it are good in at least `precision` of the cases; a kind for
+    which there is none selects nothing. Without both good and bad examples
+    there are no trees, and nothing is selected.
     """
-    learn = sample.filter("part > 0").withColumn("weight", 1 + F.log("copies"))
+    rows = merged(sample)
+    learn = rows.filter("part > 0")
     if learn.select("good").distinct().count() < 2:
         return SpanModel(None, {})
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(learn)
-    trees = GBTClassifier(featuresCol="vector", labelCol="good", weightCol="weight", maxIter=12, maxDepth=5, stepSize=0.3, seed=seed).fit(vectors)
-    held = _scores(trees, sample.filter("part = 0")).select("kind", "score", "good").collect()
-    thresholds = {}
+    bins = max(32, math.isqrt(learn.count()) + 1)
+    trees = GBTClassifier(featuresCol="vector", labelCol="good", weightCol="weight", maxIter=12, maxDepth=5, stepSize=0.3, maxBins=bins, seed=seed).fit(vectors)
+    held = _scores(trees, rows.filter("part = 0")).groupBy("kind", F.floor(F.col("score") * STEPS).alias("step")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("good")).alias("good"))
+    return SpanModel(trees, thresholds([(r.kind, r.step, r.n, r.good) for r in held.collect()], precision))  # STEPS + 1 rows of a kind at most
+
+
+def thresholds(steps: list[tuple[str, int, int, float]], precision: float) -> dict[str, float]:
+    """By kind the lowest score from which on at least `precision` of the examples are good, from their numbers in each step: (kind, step, examples, good ones).
+
+    It lies midway to the next examples below; where there are none, at the step, or at a half if that is lower.
+    """
+    out = {}
     for kind in KINDS:
-        rows = sorted(((r.score, r.good) for r in held if r.kind == kind), reverse=True)
-        good = 0.0
-        for i, (score, one) in enumerate(rows):
-            good += one
-            if good / (i + 1) >= precision and (i + 1 == len(rows) or rows[i + 1][0] < score):
-                below = rows[i + 1][0] if i + 1 < len(rows) else min(score, 0.5)
-                thresholds[kind] = (score + below) / 2 if i + 1 < len(rows) else below
-    return SpanModel(trees, thresholds)
+        rows = sorted(((step, n, good) for k, step, n, good in steps if k == kind), reverse=True)
+        every = fine = 0.0
+        for i, (step, n, good) in enumerate(rows):
+            every, fine = every + n, fine + good
+            if fine / every >= precision:
+                out[kind] = (step + rows[i + 1][0] + 1) / 2 / STEPS if i + 1 < len(rows) else min(step / STEPS, 0.5)
+    return out
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
